@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming, watermark, window or state code, so this
+package holds no operators. Every job here is a batch DataFrame plan; the
+group-feature and user-history jobs can run per micro-batch over a static
+snapshot, but no streaming operator is offered.
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history as H
 from . import fixtures
-from .registry import ads, periods, query, sql, table
+from .registry import ads, periods, query, r6, r6sql, sql
 
 
 def _history(spark, sf_dir):
@@ -37,26 +37,27 @@ def _with_history(body: str) -> str:
 
 
 @query("user_history", "A18 U2 A13 A14 A15 J3 A16 A17 J5",
-       oracle=_with_history("""SELECT user_id, round(avg_days_up_user, 6) AS avg_days_up_user,
-  round(avg_times_up_user, 6) AS avg_times_up_user, n_user_items FROM history"""))
+       oracle=_with_history(f"""SELECT user_id, {r6sql('avg_days_up_user')} AS avg_days_up_user,
+  {r6sql('avg_times_up_user')} AS avg_times_up_user, n_user_items FROM history"""))
 def q_user_history(spark, sf_dir):
     h = _history(spark, sf_dir)
-    return h.select("user_id", F.round("avg_days_up_user", 6).alias("avg_days_up_user"),
-                    F.round("avg_times_up_user", 6).alias("avg_times_up_user"), "n_user_items")
+    return h.select("user_id", r6("avg_days_up_user").alias("avg_days_up_user"),
+                    r6("avg_times_up_user").alias("avg_times_up_user"), "n_user_items")
 
 
 @query("ads_with_user_history", "J5 A25",
-       oracle=_with_history("""SELECT a.split,
+       oracle=_with_history(f"""SELECT a.split,
   count(*) AS n_rows,
-  round(100.0 * avg(CASE WHEN h.avg_days_up_user IS NULL OR h.avg_times_up_user IS NULL
-        OR h.n_user_items IS NULL THEN 1.0 ELSE 0.0 END), 6) AS pct_missing
+  {r6sql("100.0 * avg(CASE WHEN h.avg_days_up_user IS NULL OR h.avg_times_up_user IS NULL"
+          " OR h.n_user_items IS NULL THEN 1.0 ELSE 0.0 END)")} AS pct_missing
 FROM ads a LEFT JOIN history h ON a.user_id = h.user_id GROUP BY a.split"""))
 def q_ads_with_history(spark, sf_dir):
     from ..operators import profile as P
     a = ads(spark, sf_dir)
     joined = H.attach_user_features(a, _history(spark, sf_dir))
-    return P.any_null_share(joined, ["avg_days_up_user", "avg_times_up_user", "n_user_items"],
-                            by=["split"], name="pct_missing", with_count="n_rows")
+    share = P.any_null_share(joined, ["avg_days_up_user", "avg_times_up_user", "n_user_items"],
+                             by=["split"], name="pct_missing", with_count="n_rows")
+    return share.withColumn("pct_missing", r6("pct_missing"))
 
 
 @query("dedup_keep_first", "A13 U2",

@@ -60,3 +60,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(body: str, *extra: tuple[str, str]) -> str:
     return fixtures.with_views(body, *extra)
+
+
+# Check queries report doubles rounded to 6 decimals with plain double
+# arithmetic (the engines' ``round`` functions differ on halves). Sums taken in
+# a different order differ in the last bits, which would flip exact halves
+# (a mean over 128 rows often ends in 5 at the 7th decimal), so halves are
+# nudged up by 1e-9 before flooring: both engines land on the same side.
+_NUDGE = 0.5 + 1e-3
+
+
+def r6(c):
+    from pyspark.sql import functions as F
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * F.lit(1e6) + F.lit(_NUDGE)) / F.lit(1e6)
+
+
+def r6sql(expr: str) -> str:
+    one_m = "CAST(1000000 AS DOUBLE)"
+    return f"(floor(({expr}) * {one_m} + CAST({_NUDGE!r} AS DOUBLE)) / {one_m})"

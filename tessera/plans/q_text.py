@@ -28,26 +28,26 @@ def _stops_sql() -> str:
 
 
 def _grams_sql(source: str, key: str, text: str, *, stop: bool, ngram_max: int,
-               min_len: int = 1, lang: str = "lang") -> str:
-    """CTE text producing ``grams(<key>, term)`` for a source relation."""
+               min_len: int = 1, lang: str = "lang", prefix: str = "") -> str:
+    """CTE text producing ``<prefix>tf(<key>, term, tf)`` for a source relation."""
     lenf = f" WHERE length(tok) >= {min_len}" if min_len > 1 else ""
     anti = ("WHERE NOT EXISTS (SELECT 1 FROM stops s WHERE s.lang = t.lang AND s.word = t.tok)"
             if stop else "")
     langsel = f", {lang} AS lang" if stop else ""
     parts = [
-        f"""toks AS (SELECT {key}{', lang' if stop else ''}, tok, pos FROM (
+        f"""{prefix}toks AS (SELECT {key}{', lang' if stop else ''}, tok, pos FROM (
     SELECT {key}{langsel}, unnest(l) AS tok, unnest(range(len(l))) AS pos FROM (
       SELECT {key}{langsel}, regexp_extract_all(lower({text}), '{TOKEN_RE}') AS l FROM {source}))
     {lenf})""",
-        f"""kept AS (SELECT {key}, tok, row_number() OVER (PARTITION BY {key} ORDER BY pos) AS p
-    FROM toks t {anti})""",
+        f"""{prefix}kept AS (SELECT {key}, tok, row_number() OVER (PARTITION BY {key} ORDER BY pos) AS p
+    FROM {prefix}toks t {anti})""",
     ]
-    grams = [f"SELECT {key}, tok AS term FROM kept"]
+    grams = [f"SELECT {key}, tok AS term FROM {prefix}kept"]
     if ngram_max >= 2:
-        grams.append(f"SELECT a.{key}, a.tok || ' ' || b.tok AS term FROM kept a "
-                     f"JOIN kept b ON a.{key} = b.{key} AND b.p = a.p + 1")
-    parts.append(f"grams AS ({' UNION ALL '.join(grams)})")
-    parts.append(f"tf AS (SELECT {key}, term, count(*) AS tf FROM grams GROUP BY {key}, term)")
+        grams.append(f"SELECT a.{key}, a.tok || ' ' || b.tok AS term FROM {prefix}kept a "
+                     f"JOIN {prefix}kept b ON a.{key} = b.{key} AND b.p = a.p + 1")
+    parts.append(f"{prefix}grams AS ({' UNION ALL '.join(grams)})")
+    parts.append(f"{prefix}tf AS (SELECT {key}, term, count(*) AS tf FROM {prefix}grams GROUP BY {key}, term)")
     return ",\n".join(parts)
 
 
@@ -175,3 +175,91 @@ def q_tfidf_smooth(spark, sf_dir):
     terms = TX.analyzed_terms(F.col("text"), ngram_max=1, min_token_len=2)
     m = TX.tfidf(d, "doc_id", terms, sublinear_tf=False, smooth_idf=True)
     return m.select("doc_id", "term", r6("weight").alias("weight"))
+
+
+# -- the three-field union and the text job --------------------------------------------
+
+def _doc_ads(spark, sf_dir):
+    """Documents in the ads shape: description = text, title = a part name,
+    params from language and source (param_3 missing)."""
+    d = table(spark, sf_dir, "documents")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    n_parts = p.count()
+    return d.join(p, p.p_partkey == d.doc_id % F.lit(n_parts)).select(
+        F.col("doc_id").alias("item_id"), F.col("text").alias("description"),
+        F.col("p_name").alias("title"), F.col("lang").alias("param_1"),
+        F.col("source").alias("param_2"), F.lit(None).cast("string").alias("param_3"))
+
+
+DOC_ADS_SQL = """SELECT d.doc_id AS item_id, d.text AS description, p.p_name AS title,
+  d.lang AS param_1, d.source AS param_2, CAST(NULL AS VARCHAR) AS param_3
+FROM documents d JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part)"""
+
+PREP_SQL = """SELECT item_id, coalesce(description, 'nan') AS description,
+  concat_ws(' ', coalesce(param_1, 'nan'), coalesce(param_2, 'nan'), coalesce(param_3, 'nan')) AS text_feat,
+  coalesce(title, 'nan') AS title FROM doc_ads"""
+
+
+def _union_sql() -> str:
+    n = "(SELECT CAST(count(*) AS DOUBLE) FROM prep)"
+    ctes = [f"doc_ads AS ({DOC_ADS_SQL})", f"prep AS ({PREP_SQL})",
+            "stops0 AS (" + _stops_sql() + ")", "stops AS (SELECT * FROM stops0 WHERE lang = 'en')",
+            _grams_sql("prep", "item_id", "description", stop=True, ngram_max=2, lang="'en'", prefix="d_"),
+            _grams_sql("prep", "item_id", "text_feat", stop=False, ngram_max=2, min_len=2, prefix="p_"),
+            _grams_sql("prep", "item_id", "title", stop=True, ngram_max=2, lang="'en'", prefix="t_")]
+    return _with(*ctes) + f""", d_vocab AS (SELECT term, count(*) AS df, sum(tf) AS total FROM d_tf GROUP BY term
+  ORDER BY total DESC, term LIMIT 1000),
+t_vocab AS (SELECT term, count(*) AS df FROM t_tf GROUP BY term),
+d_w AS (SELECT tf.item_id, tf.term, (1 + ln(tf.tf)) * (ln({n} / v.df) + 1) AS w
+  FROM d_tf tf JOIN d_vocab v ON tf.term = v.term),
+t_w AS (SELECT tf.item_id, tf.term, (1 + ln(tf.tf)) * (ln({n} / v.df) + 1) AS w
+  FROM t_tf tf JOIN t_vocab v ON tf.term = v.term)
+SELECT item_id, 'description__' || term AS term,
+  {r6sql('w / sqrt(sum(w * w) OVER (PARTITION BY item_id))')} AS weight FROM d_w
+UNION ALL SELECT item_id, 'text_feat__' || term AS term, CAST(tf AS DOUBLE) AS weight FROM p_tf
+UNION ALL SELECT item_id, 'title__' || term AS term,
+  {r6sql('w / sqrt(sum(w * w) OVER (PARTITION BY item_id))')} AS weight FROM t_w"""
+
+
+@query("text_union", "T16 T17 T12 T14", oracle=_union_sql())
+def q_text_union(spark, sf_dir):
+    _dense, sparse = TX.text_job(_doc_ads(spark, sf_dir), "item_id", language="english",
+                                 max_features=1000)
+    return sparse.select("item_id", "term", r6("weight").alias("weight"))
+
+
+def _dense_sql() -> str:
+    cols = []
+    for f in ("description", "text_feat", "title"):
+        w = f"list_filter(regexp_split_to_array(lower({f}), '\\s+'), lambda x: x <> '')"
+        cols += [f"length(lower({f})) AS {f}_num_chars", f"len({w}) AS {f}_num_words",
+                 f"len(list_distinct({w})) AS {f}_num_unique_words",
+                 f"{r6sql(f'100.0 * len(list_distinct({w})) / nullif(len({w}), 0)')} AS {f}_words_vs_unique"]
+    return _with(f"doc_ads AS ({DOC_ADS_SQL})", f"prep AS ({PREP_SQL})") + \
+        f"SELECT item_id, {', '.join(cols)} FROM prep"
+
+
+@query("text_job_dense", "T17 T1 T2 T3 T4 T5 P9", oracle=_dense_sql())
+def q_text_dense(spark, sf_dir):
+    dense, _sparse = TX.text_job(_doc_ads(spark, sf_dir), "item_id", language="english",
+                                 max_features=1000)
+    return dense.select(*[r6(c).alias(c) if c.endswith("_words_vs_unique") else c for c in dense.columns])
+
+
+@query("text_wrap", "T8 T7")
+def q_wrap(spark, sf_dir):
+    """Rows only: pieces of at most 1000 characters (property-tested)."""
+    d = table(spark, sf_dir, "documents")
+    pieces = T.wrap_pieces(T.drop_astral("text"), 1000)
+    return d.select("doc_id", F.posexplode(pieces).alias("piece_no", "piece"))
+
+
+@query("text_svd", "T18")
+def q_svd(spark, sf_dir):
+    """Rows only: 3-component truncated SVD of the TF-IDF matrix (signs are
+    arbitrary; orthogonality and singular values are property-tested)."""
+    d = _docs(spark, sf_dir)
+    terms = TX.analyzed_terms(F.col("text"), ngram_max=1, language=F.col("lang"))
+    m = TX.tfidf(d, "doc_id", terms, sublinear_tf=True, smooth_idf=False, max_features=1000)
+    scores, _s = TX.truncated_svd(m, "doc_id", 3)
+    return scores

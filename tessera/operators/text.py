@@ -40,10 +40,8 @@ LANGUAGE_NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanis
 def stop_words(language: str) -> tuple[str, ...]:
     """Spark's bundled default stop-word list for ``language`` (the same list
     ``StopWordsRemover.loadDefaultStopWords`` returns), read from the jar."""
-    import pyspark
     name = LANGUAGE_NAMES.get(language, language)
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
+    for jar in _mllib_jars():
         with zipfile.ZipFile(jar) as z:
             path = f"org/apache/spark/ml/feature/stopwords/{name}.txt"
             if path in z.namelist():
@@ -52,6 +50,20 @@ def stop_words(language: str) -> tuple[str, ...]:
     return tuple(StopWordsRemover.loadDefaultStopWords(name))
 
 
+def _mllib_jars() -> list[str]:
+    import pyspark
+    roots = [os.environ.get("SPARK_HOME", "")]
+    here = os.path.dirname(pyspark.__file__)
+    while here and here != os.path.dirname(here):  # walk up out of a zipped copy
+        roots.append(here)
+        here = os.path.dirname(here)
+    for root in roots:
+        found = glob.glob(os.path.join(root, "jars", "spark-mllib_*.jar"))
+        if found:
+            return found
+    return []
+
+
 def _stop_array(language: str) -> Column:
     return F.array(*[F.lit(w) for w in stop_words(language)])
 

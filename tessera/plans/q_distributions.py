@@ -107,7 +107,7 @@ def q_listing(spark, sf_dir):
 
 
 @query("unreadable_files", "R6",
-       oracle="""SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages
+       oracle=r"""SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages
 WHERE NOT (starts_with(html, '<!DOCTYPE html>') AND ends_with(regexp_replace(html, '\s+$', ''), '</html>'))""")
 def q_unreadable(spark, sf_dir):
     files = _page_files(spark, sf_dir)

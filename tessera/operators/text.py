@@ -65,7 +65,26 @@ def _mllib_jars() -> list[str]:
 
 
 def _stop_array(language: str) -> Column:
-    return F.array(*[F.lit(w) for w in stop_words(language)])
+    # one array literal (a constant), not an array() call rebuilt per use
+    return F.lit(list(stop_words(language)))
+
+
+def _stop_buckets(language: str) -> Column:
+    """Stop words bucketed by first character, as a constant map literal:
+    a token is compared with the few words sharing its first character
+    instead of the whole list."""
+    buckets: dict[str, list[str]] = {}
+    for w in stop_words(language):
+        buckets.setdefault(w[0], []).append(w)
+    parts = []
+    for k in sorted(buckets):
+        parts += [F.lit(k), F.lit(buckets[k])]
+    return F.create_map(*parts)
+
+
+def _is_stop(t: Column, buckets: Column) -> Column:
+    bucket = F.element_at(buckets, F.substring(t, 1, 1))
+    return F.coalesce(F.array_contains(bucket, t), F.lit(False))
 
 
 def without_stop_words(tokens: Column, language: str | Column | None,
@@ -75,15 +94,14 @@ def without_stop_words(tokens: Column, language: str | Column | None,
     if language is None:
         return tokens
     if isinstance(language, str):
-        stops = _stop_array(language)
+        buckets = _stop_buckets(language)
     else:
-        stops = F.lit(None)
         expr = None
         for code in languages:
-            expr = (F.when(language == code, _stop_array(code)) if expr is None
-                    else expr.when(language == code, _stop_array(code)))
-        stops = expr.otherwise(F.array().cast("array<string>"))
-    return F.filter(tokens, lambda t: ~F.array_contains(stops, t))
+            expr = (F.when(language == code, _stop_buckets(code)) if expr is None
+                    else expr.when(language == code, _stop_buckets(code)))
+        buckets = expr.otherwise(F.lit(None).cast("map<string,array<string>>"))
+    return F.filter(tokens, lambda t: ~_is_stop(t, buckets))
 
 
 def _gram_at(tokens: Column, n: int):

@@ -80,8 +80,12 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 4 == 0, F.lit("train")).when(key % 4 == 3, F.lit("test"))
         .otherwise(F.lit("active")).alias("split"),
     )
-    # item_seq_number: 1-based rank of the ad among its user's ads by date
-    seq = running_index(shaped, ["user_id"], ["o_orderdate", "item_id"], "item_seq_number")
+    # item_seq_number: 1-based rank of the ad among its user's ads by date,
+    # computed on a narrow projection and joined back by key
+    seq = running_index(o.select(key.alias("item_id"), F.col("o_custkey").alias("user_id"),
+                                 "o_orderdate"),
+                        ["user_id"], ["o_orderdate", "item_id"], "item_seq_number")
+    seq = shaped.join(seq.select("item_id", "item_seq_number"), "item_id")
     return seq.select(
         "item_id", "user_id", "region", "city", "parent_category_name", "category_name",
         "param_1", "param_2", "param_3", "title", "description", "price",

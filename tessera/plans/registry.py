@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialize
+from ..session import scratch_path
 from . import fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +39,15 @@ _VIEW_CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Build a derived view once per session and table folder, written as a
+    Parquet table under the shared checkpoint folder: later queries read it
+    with column pruning (a wide text column is not read by queries that do
+    not use it) and lineage is cut."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _VIEW_CACHE:
-        _VIEW_CACHE[key] = materialize(build(spark, sf_dir))
+        path = scratch_path(spark, f"view-{name}")
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _VIEW_CACHE[key] = spark.read.parquet(path)
     return _VIEW_CACHE[key]
 
 

@@ -167,7 +167,7 @@ def seed_search(df: DataFrame, seeds: Sequence[int], key: str, group: str, label
     score. The seed list is small and fixed in size (it comes from
     ``draw_seeds``), so each row is expanded once per seed and summed
     map-side: one job for all seeds."""
-    seed_arr = F.array(*[F.lit(int(s)) for s in seeds])
+    seed_arr = F.array(*[F.lit(int(s)).cast("long") for s in seeds])
     rows = df.where(F.col(label).isNotNull()).select(key, group, label, F.explode(seed_arr).alias("seed"))
     hold = F.substring(F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"),
                                       F.col(key).cast("string"))), 1, 8) < F.lit(

@@ -146,8 +146,8 @@ def q_name_filter(spark, sf_dir):
 
 
 @query("attach_features", "P14 D4",
-       oracle=sql(f"""SELECT a.item_id, a.price, weekofyear(a.activation_date) AS week,
-  isodow(a.activation_date) - 1 AS weekday, day(a.activation_date) AS day,
+       oracle=sql(f"""SELECT a.item_id, a.price, CAST(weekofyear(a.activation_date) AS INTEGER) AS week,
+  CAST(isodow(a.activation_date) - 1 AS INTEGER) AS weekday, CAST(day(a.activation_date) AS INTEGER) AS day,
   {r6sql('g.v')} AS reg_mean_dp
 FROM ads a LEFT JOIN (SELECT region, avg(deal_probability) AS v FROM ads GROUP BY region) g
   ON a.region = g.region"""))
@@ -190,8 +190,9 @@ def q_stamp(spark, sf_dir):
 
 
 @query("time_features", "D1 D2 D3 D4",
-       oracle=sql("""SELECT item_id, weekofyear(activation_date) AS week,
-  isodow(activation_date) - 1 AS weekday, day(activation_date) AS day FROM ads"""))
+       oracle=sql("""SELECT item_id, CAST(weekofyear(activation_date) AS INTEGER) AS week,
+  CAST(isodow(activation_date) - 1 AS INTEGER) AS weekday, CAST(day(activation_date) AS INTEGER) AS day
+FROM ads"""))
 def q_time(spark, sf_dir):
     return Fr.time_features(ads(spark, sf_dir))
 

@@ -73,7 +73,7 @@ def q_dedup(spark, sf_dir):
 
 @query("period_days", "A14 D5 U2",
        oracle=sql("""SELECT item_id, date_from, date_to, source,
-  date_diff('day', date_from, date_to) AS days_up,
+  CAST(date_diff('day', date_from, date_to) AS INTEGER) AS days_up,
   CAST(floor((epoch_us(CAST(date_to AS TIMESTAMP) - INTERVAL 12 HOUR)
     - epoch_us(CAST(date_from AS TIMESTAMP))) / 86400000000.0) AS BIGINT) AS days_up_half
 FROM periods"""))

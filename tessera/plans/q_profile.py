@@ -131,7 +131,8 @@ def q_joint(spark, sf_dir):
 
 @query("length_profile", "A30",
        oracle="""SELECT count(*) FILTER (WHERE length(text) > 1000) AS n_longer,
-  max(length(text)) AS max_len, min(length(text)) AS min_len FROM documents""")
+  CAST(max(length(text)) AS INTEGER) AS max_len, CAST(min(length(text)) AS INTEGER) AS min_len
+FROM documents""")
 def q_length_profile(spark, sf_dir):
     return P.length_profile(table(spark, sf_dir, "documents"), "text", 1000)
 

@@ -140,7 +140,7 @@ def q_ratings_text(spark, sf_dir):
 
 
 @query("fixed_length_records", "S16",
-       oracle=f"""SELECT vec_id, len(embedding) AS n,
+       oracle=f"""SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
   {r6sql('list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)))')} AS total FROM embeddings""")
 def q_fixed(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")

@@ -59,10 +59,10 @@ def _with(*ctes: str) -> str:
 
 @query("text_stats", "T1 T2 T3 T4 T5",
        oracle=f"""SELECT doc_id,
-  length(lower(text)) AS num_chars,
-  len(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS num_words,
-  len(list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')))
-    AS num_unique_words,
+  CAST(length(lower(text)) AS INTEGER) AS num_chars,
+  CAST(len(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')) AS INTEGER) AS num_words,
+  CAST(len(list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')))
+    AS INTEGER) AS num_unique_words,
   {r6sql("100.0 * len(list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')))"
          " / nullif(len(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '')), 0)")}
     AS words_vs_unique
@@ -76,7 +76,8 @@ def q_text_stats(spark, sf_dir):
 
 
 @query("measure_length", "T2",
-       oracle="""SELECT doc_id, coalesce(length(CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END), 1) AS len_text
+       oracle="""SELECT doc_id, CAST(coalesce(length(CASE WHEN doc_id % 7 = 0 THEN NULL ELSE text END), 1) AS INTEGER)
+  AS len_text
 FROM documents""")
 def q_measure_length(spark, sf_dir):
     d = _docs(spark, sf_dir)
@@ -85,15 +86,16 @@ def q_measure_length(spark, sf_dir):
 
 
 @query("punct_count", "T6",
-       oracle=r"""SELECT doc_id, length(text) - length(regexp_replace(text, '[!-/:-@\[-`{-~]', '', 'g'))
-  AS n_punct FROM documents""")
+       oracle=r"""SELECT doc_id, CAST(length(text) - length(regexp_replace(text, '[!-/:-@\[-`{-~]', '', 'g'))
+  AS INTEGER) AS n_punct FROM documents""")
 def q_punct(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", T.n_punct("text").alias("n_punct"))
 
 
 @query("drop_astral", "T7",
-       oracle="""SELECT doc_id, length(text) AS n_before,
-  length(regexp_replace(text, '[^\\x{0000}-\\x{FFFF}]', '', 'g')) AS n_after FROM documents""")
+       oracle="""SELECT doc_id, CAST(length(text) AS INTEGER) AS n_before,
+  CAST(length(regexp_replace(text, '[^\\x{0000}-\\x{FFFF}]', '', 'g')) AS INTEGER) AS n_after
+FROM documents""")
 def q_astral(spark, sf_dir):
     d = _docs(spark, sf_dir)
     return d.select("doc_id", F.length("text").alias("n_before"),
@@ -131,7 +133,7 @@ def q_ngram_counts(spark, sf_dir):
 @query("vocab_topk", "T13",
        oracle=_with("stops AS (" + _stops_sql() + ")",
                     _grams_sql("documents", "doc_id", "text", stop=True, ngram_max=2))
-       + """SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term
+       + """SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term
 ORDER BY total DESC, term LIMIT 1000""")
 def q_vocab(spark, sf_dir):
     d = _docs(spark, sf_dir)
@@ -232,8 +234,9 @@ def _dense_sql() -> str:
     cols = []
     for f in ("description", "text_feat", "title"):
         w = f"list_filter(regexp_split_to_array(lower({f}), '\\s+'), lambda x: x <> '')"
-        cols += [f"length(lower({f})) AS {f}_num_chars", f"len({w}) AS {f}_num_words",
-                 f"len(list_distinct({w})) AS {f}_num_unique_words",
+        cols += [f"CAST(length(lower({f})) AS INTEGER) AS {f}_num_chars",
+                 f"CAST(len({w}) AS INTEGER) AS {f}_num_words",
+                 f"CAST(len(list_distinct({w})) AS INTEGER) AS {f}_num_unique_words",
                  f"{r6sql(f'100.0 * len(list_distinct({w})) / nullif(len({w}), 0)')} AS {f}_words_vs_unique"]
     return _with(f"doc_ads AS ({DOC_ADS_SQL})", f"prep AS ({PREP_SQL})") + \
         f"SELECT item_id, {', '.join(cols)} FROM prep"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import text as TX
+from ..session import spread
 from .registry import query, r6, r6sql, table
 
 LANGS = ("en", "fr", "de", "es")
@@ -16,7 +17,7 @@ TOKEN_RE = r"[\p{L}\p{N}_]+"
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
 
 
 def _stops_sql() -> str:

@@ -79,3 +79,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Repartition only when a scan yields fewer partitions than the cluster
+    has cores (e.g. a small file with one row group), so that heavy per-row
+    work (regexes over whole texts) runs in parallel. A large input already
+    has enough splits and is returned unchanged: no extra shuffle at scale."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)

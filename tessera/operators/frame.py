@@ -138,11 +138,28 @@ def label_codes(df: DataFrame, column: str, name: str | None = None) -> DataFram
 
 def label_encode(df: DataFrame, columns: Sequence[str], row_key: str = "item_id",
                  names: Mapping[str, str] | None = None) -> DataFrame:
-    """M1: ``row_key`` plus one code column per categorical column (text form,
-    sorted). Each code table is joined back on its value."""
+    """M1: ``row_key`` plus one code column per categorical column: the
+    distinct non-null values of each column numbered 0.. in sorted order
+    (numbers numerically, text by code point). All columns are numbered in
+    ONE distributed ranking (key = column name), then each code table is
+    joined back on its value."""
+    from pyspark.sql.types import NumericType
+
+    from .ordinal import running_index
+
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
     out = df.select(row_key, *columns)
+    vals = None
+    for c in columns:
+        part = out.where(F.col(c).isNotNull()).select(
+            F.lit(c).alias("__col"),
+            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("__num"),
+            F.col(c).cast("string").alias("__v")).distinct()
+        vals = part if vals is None else vals.unionByName(part)
+    codes = running_index(vals, ["__col"], ["__num", "__v"], "__code")
     for c in columns:
         name = (names or {}).get(c, f"{c}_encoded")
-        codes = label_codes(out, c, name)
-        out = out.join(codes, c, "left")
+        table = codes.where(F.col("__col") == c).select(F.col("__v").alias("__key"),
+                                                        F.col("__code").alias(name))
+        out = out.join(table, F.col(c).cast("string") == F.col("__key"), "left").drop("__key")
     return out.select(row_key, *[(names or {}).get(c, f"{c}_encoded") for c in columns])

@@ -156,7 +156,10 @@ def label_encode(df: DataFrame, columns: Sequence[str], row_key: str = "item_id"
             (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("__num"),
             F.col(c).cast("string").alias("__v")).distinct()
         vals = part if vals is None else vals.unionByName(part)
-    codes = running_index(vals, ["__col"], ["__num", "__v"], "__code")
+    # one table of codes for all columns, cut from its lineage once: each
+    # column's join-back reads it instead of recomputing the ranking
+    from ..session import materialize
+    codes = materialize(running_index(vals, ["__col"], ["__num", "__v"], "__code"))
     for c in columns:
         name = (names or {}).get(c, f"{c}_encoded")
         table = codes.where(F.col("__col") == c).select(F.col("__v").alias("__key"),

@@ -96,3 +96,26 @@ def test_running_index_on_hot_key(spark):
         by_key.setdefault(r.k, []).append(r.ix)
     for ixs in by_key.values():
         assert ixs == list(range(len(ixs)))
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from tessera.session import ensure_checkpoint_dir
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    # Spark adds a unique sub-folder under the configured shared folder
+    assert configured.rstrip("/").split("/")[-1] in ensure_checkpoint_dir(spark)
+
+
+def test_spread_only_when_needed(spark):
+    from tessera.session import spread
+    one = spark.range(0, 100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 100).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_label_codes_sort_numbers_numerically(spark):
+    from tessera.operators.frame import label_encode
+    df = spark.createDataFrame([(1, 10, "b"), (2, 9, "a"), (3, None, "b"), (4, 100, None)],
+                               "item_id long, n int, s string")
+    got = {r.item_id: (r.n_encoded, r.s_encoded) for r in label_encode(df, ["n", "s"]).collect()}
+    assert got == {1: (1, 1), 2: (0, 0), 3: (None, 1), 4: (2, None)}

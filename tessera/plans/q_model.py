@@ -150,7 +150,7 @@ def q_predict(spark, sf_dir):
 @query("cv_rounds", "M6 X6")
 def q_cv(spark, sf_dir):
     mat, _ = _model_table(spark, sf_dir)
-    lab = X.contiguous_folds(mat.where(F.col("label").isNotNull()), ["item_id"], 3)
+    lab = X.contiguous_folds(mat.where(F.col("label").isNotNull()), ["item_id"], 10).cache()
     best, curve = M.cv_rounds(lab, "fold", _small_gbt())
     rows = [(i + 1, float(v), i + 1 == best) for i, v in enumerate(curve)]
     return spark.createDataFrame(rows, "round int, mean_error double, best boolean")
@@ -161,18 +161,33 @@ def q_sweep(spark, sf_dir):
     mat, _ = _model_table(spark, sf_dir)
     lab = mat.where(F.col("label").isNotNull()).cache()
     reports = None
-    for leaves, depth in M.SWEEP[-3:]:
+    for leaves, depth in M.SWEEP:
         _m, rep = M.fit_and_report(spark, f"leaves{leaves}_depth{depth}", lab.where(~F.col("is_valid")),
                                    lab.where(F.col("is_valid")), _small_gbt(max_depth=depth))
         reports = rep if reports is None else reports.unionByName(rep)
     return reports
 
 
-@query("ablation_options", "M11")
+@query("ablation_options", "M11 M3 M5")
 def q_ablation(spark, sf_dir):
+    """Rows only: one boosted-tree fit per feature-set option on the model
+    table, reported with its validation RMSE (the text limit is recorded for
+    the text part of an option)."""
+    mat, _ = _model_table(spark, sf_dir)
+    lab = mat.where(F.col("label").isNotNull()).drop("features").cache()
+    base = ["price", "item_seq_number", "image_top_1"]
     options = {0: ([], 0), 1: (["reg_mean_dp"], 1000), 2: (["cn_mean_dp", "uty_pcn_mean_dp"], 18000)}
-    return M.option_table(spark, ["price", "item_seq_number", "image_top_1"], options) \
-        .select("option", F.array_join("features", ",").alias("features"), "text_limit")
+    table_ = M.option_table(spark, base, options)
+    reports = None
+    for opt, (extra, _limit) in sorted(options.items()):
+        feats, _ = M.design_matrix(lab, base + extra)
+        _m, rep = M.fit_and_report(spark, f"option{opt}", feats.where(~F.col("is_valid")),
+                                   feats.where(F.col("is_valid")), _small_gbt())
+        rep = rep.withColumn("option", F.lit(opt))
+        reports = rep if reports is None else reports.unionByName(rep)
+    return table_.join(reports.select("option", "num_round", "val"), "option") \
+        .select("option", F.array_join("features", ",").alias("features"), "text_limit",
+                "num_round", "val")
 
 
 @query("top_importances", "M12")

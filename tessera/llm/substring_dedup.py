@@ -11,7 +11,8 @@ is confirmed on the words themselves.
 Hot passages: before anything travels, each task marks the windows that repeat
 inside one of its blocks of text. They have an earlier copy already, so only the
 block's first copy travels: a passage in a third of all documents costs one
-packed string per block.
+packed string per block. The packed strings of a block that go to one part of
+the buckets share a compressed parcel; a task opens one part at a time.
 
 Defined results: a null or empty text has no words and keeps nothing; a text
 shorter than the window loses nothing; rows that share a doc_id are versions of
@@ -36,7 +37,9 @@ from .words import (
 )
 
 NULL_ID = 2**63 - 1
-_TRAVEL = "bucket long, doc long, start int, n int, packed binary"
+#: Parts of the minimisers for each shuffle partition; a task holds one part at a time.
+PARTS = 16
+_TRAVEL = "part int, n int, size long, parcel binary"
 _SPANS = "doc long, start int, n int"
 
 
@@ -79,9 +82,11 @@ def repeated_windows(words: Words, n: int, doc: np.ndarray, start: np.ndarray) -
     return flags
 
 
-def _pack(id_col: str, text_col: str, window: int, core: int):
+def _pack(id_col: str, text_col: str, window: int, core: int, parts: int):
     """Task function: packed strings of the windows that have no earlier copy in
-    their block, and the spans of those that have."""
+    their block, in one compressed parcel for each block and part (a part holds
+    the buckets of ``1 / parts`` of the minimisers), and the spans of the windows
+    that have one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col):
@@ -94,7 +99,6 @@ def _pack(id_col: str, text_col: str, window: int, core: int):
             doc = np.repeat(ids, per_text)
             start = np.arange(len(words)) - np.repeat(words.first[:-1], per_text)
             again = repeated_windows(words, window, doc, start)
-            spans, n_spans = runs(again, doc, start - np.arange(len(words)))
             fresh = inside_text(words, window) & ~again
             core_hash = np.full(len(words), np.uint64(2**64 - 1))
             got = mix(sequence_hashes(words.hashes(), core))
@@ -102,65 +106,84 @@ def _pack(id_col: str, text_col: str, window: int, core: int):
             smallest = np.zeros(len(words), np.uint64)
             got = sliding_min(core_hash, window - core + 1) if len(words) >= window else got[:0]
             smallest[:len(got)] = got
-            cuts, n_cuts = runs(fresh, smallest, words.text_of())
+            at, n = runs(fresh, smallest, words.text_of())
             text, offset = words.joined()
-            packed = [text[a:b] for a, b in zip(offset[cuts].tolist(),
-                                                (offset[cuts + n_cuts + window - 1] - 1).tolist(),
-                                                strict=True)]
-            bucket = np.concatenate((smallest[cuts], mix(doc[spans].astype(np.uint64))))
-            at, n = np.concatenate((cuts, spans)), np.concatenate((n_cuts, n_spans))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(bucket.astype(np.int64)), pa.array(doc[at]),
-                pa.array(start[at].astype(np.int32)), pa.array(n.astype(np.int32)),
-                pa.array(packed + [None] * len(spans), pa.binary()),
-            ], ["bucket", "doc", "start", "n", "packed"])
+            begin, end = offset[at], offset[at + n + window - 1] - 1
+            part = (mix(smallest[at]) % np.uint64(parts)).astype(np.int64)
+            by_part = np.argsort(part, kind="stable")
+            at, part, begin, end = at[by_part], part[by_part], begin[by_part], end[by_part]
+            packed = [text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            cut = np.flatnonzero(np.diff(part, prepend=-1))
+            out = []
+            for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=True):
+                parcel = b"".join([doc[at[i:j]].tobytes(), start[at[i:j]].tobytes(),
+                                   (end[i:j] - begin[i:j]).tobytes(), *packed[i:j]])
+                out.append((int(part[i]), j - i, len(parcel), pa.compress(parcel, "zstd", asbytes=True)))
+            at, n = runs(again, doc, start - np.arange(len(words)))
+            if len(at):
+                parcel = doc[at].tobytes() + start[at].tobytes() + n.tobytes()
+                out.append((int(doc[0] % parts), -len(at), len(parcel),
+                            pa.compress(parcel, "zstd", asbytes=True)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in out], t) for k, t in enumerate(
+                    (pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+                ["part", "n", "size", "parcel"])
 
     return work
 
 
-def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Blocks of about a block's bytes that never part the rows of one bucket."""
-    held: list[pa.Table] = []
-    for block in blocks(batches, "packed"):
-        bucket = block["bucket"].to_numpy()
-        other = np.flatnonzero(bucket != bucket[-1])
-        tail = int(other[-1]) + 1 if len(other) else 0  # where the last bucket begins
-        if tail:
-            yield pa.concat_tables([*held, block.slice(0, tail)])
-            held = [block.slice(tail)]
-        elif held and held[-1]["bucket"][-1].as_py() != bucket[0]:
-            yield pa.concat_tables(held)
-            held = [block]
-        else:
-            held.append(block)
-    if held:
-        yield pa.concat_tables(held)
+def _open(parcel: bytes, size: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = pa.decompress(parcel, size, "zstd", asbytes=True)
+    doc, start, last = np.frombuffer(raw, np.int64, 3 * n).reshape(3, n)
+    return doc, start, last, raw[24 * n:]
 
 
 def _count(window: int):
-    """Task function over rows sorted by (bucket, doc, start): spans of windows
-    that repeat an earlier one."""
+    """Task function over rows sorted by part: spans of windows that repeat an
+    earlier one of their part."""
+
+    def judged(parcels: list) -> Iterator[pa.RecordBatch]:
+        docs, starts, texts = [], [], []
+        for doc, start, size, text in parcels:
+            docs.append(doc)
+            starts.append(start)
+            end = np.cumsum(size)
+            texts += [text[a:b] for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
+        doc, start = np.concatenate(docs), np.concatenate(starts)
+        order = np.lexsort((start, doc))
+        words = split_words([texts[i] for i in order])
+        per_text = np.diff(words.first)
+        doc = np.repeat(doc[order], per_text)
+        start = (np.repeat(start[order] - words.first[:-1], per_text) + np.arange(len(words)))
+        again = repeated_windows(words, window, doc, start)
+        at, n = runs(again, words.text_of())
+        yield _spans(doc[at], start[at], n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _whole_buckets(batches):
-            known = block.filter(block["packed"].is_null())
-            block = block.filter(block["packed"].is_valid())
-            words = split_words(as_bytes(block["packed"]))
-            per_text = np.diff(words.first)
-            doc = np.repeat(block["doc"].to_numpy(), per_text)
-            inner = np.arange(len(words)) - np.repeat(words.first[:-1], per_text)
-            start = np.repeat(block["start"].to_numpy().astype(np.int64), per_text) + inner
-            again = repeated_windows(words, window, doc, start)
-            at, n = runs(again, words.text_of())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate((doc[at], known["doc"].to_numpy()))),
-                pa.array(np.concatenate((start[at], known["start"].to_numpy())).astype(np.int32)),
-                pa.array(np.concatenate((n, known["n"].to_numpy())).astype(np.int32)),
-            ], ["doc", "start", "n"])
+        held, now = [], None
+        for batch in batches:
+            for part, n, size, parcel in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now and held:
+                    yield from judged(held)
+                    held = []
+                now = part
+                opened = _open(parcel, size, abs(n))
+                if n < 0:
+                    yield _spans(*opened[:3])
+                else:
+                    held.append(opened)
+        if held:
+            yield from judged(held)
 
     return work
 
 
+def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+        ["doc", "start", "n"])
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = 20, core: int = 6) -> DataFrame:
     """Spans of word windows that also start earlier: ``doc, start, n``.
@@ -171,9 +194,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     tasks = shuffle_tasks(docs)
     return (docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
-            .mapInArrow(_pack(id_col, text_col, window, core), _TRAVEL)
-            .repartition(tasks, "bucket")
-            .sortWithinPartitions("bucket", "doc", "start")
+            .mapInArrow(_pack(id_col, text_col, window, core, tasks * PARTS), _TRAVEL)
+            .repartition(tasks, "part")
+            .sortWithinPartitions("part")
             .mapInArrow(_count(window), _SPANS))
 
 

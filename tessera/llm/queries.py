@@ -63,3 +63,44 @@ FROM d LEFT JOIN per ON d.doc_id = per.doc_id
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+_OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, '' ORDER BY s)) AS f FROM sh GROUP BY doc_id),
+rep AS (SELECT f, min(doc_id) AS rep FROM n GROUP BY f),
+cls AS (SELECT doc_id, rep, n FROM n JOIN rep USING (f)),
+-- a pair shares one of the rarest shingles of both (prefix of a quarter of the set)
+df AS (SELECT s, count(*) AS c FROM sh JOIN rep ON sh.doc_id = rep.rep GROUP BY s),
+ranked AS (
+  SELECT sh.doc_id, s, row_number() OVER (PARTITION BY sh.doc_id ORDER BY c, s) AS k
+  FROM sh JOIN df USING (s) JOIN rep ON sh.doc_id = rep.rep),
+pre AS (SELECT r.doc_id, s, n FROM ranked r JOIN n USING (doc_id) WHERE k <= n - ceil(0.75 * n) + 1),
+cand AS (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM pre x JOIN pre y
+  ON x.s = y.s AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 75 * greatest(x.n, y.n)),
+common AS (
+  SELECT a, b, count(*) AS i FROM cand JOIN sh x ON x.doc_id = a
+  JOIN sh y ON y.doc_id = b AND y.s = x.s GROUP BY a, b),
+link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * i >= 75 * (x.n + y.n - i)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link UNION SELECT rep, rep FROM rep),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a),
+comp AS (SELECT a AS rep, min(b) AS component FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(cls.n, 0) AS BIGINT) AS n_shingles,
+       coalesce(component, d.doc_id) AS component_id,
+       coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN cls ON d.doc_id = cls.doc_id LEFT JOIN comp ON cls.rep = comp.rep
+"""
+
+
+@query("op4_near_dedup", _OP4_SQL)
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))

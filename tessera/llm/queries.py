@@ -104,3 +104,37 @@ FROM d LEFT JOIN cls ON d.doc_id = cls.doc_id LEFT JOIN comp ON cls.rep = comp.r
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_OP9_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM t, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, i, win.n FROM place JOIN win ON place.s = win.s AND place.n = win.n),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+  SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN words ON t.doc_id = words.doc_id LEFT JOIN items ON t.doc_id = items.doc_id
+"""
+
+
+@query("op9_decontaminate", _OP9_SQL)
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    return contamination(table(spark, sf_dir, "documents"),
+                         table(spark, sf_dir, "benchmark")).drop("spans")

@@ -138,3 +138,42 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents"),
                          table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+# The weights are 1, 2, 3 in turn; the level rises until no further source is full.
+_OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '#7') AS key FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w
+  FROM d GROUP BY source),
+lev(k, level) AS (
+  SELECT 0, (SELECT sum(source_size) FROM s) / (SELECT sum(w) FROM s)
+  UNION ALL
+  SELECT k + 1, ((SELECT sum(source_size) FROM s)
+                 - coalesce((SELECT sum(3 * source_size) FROM s WHERE 3 * source_size <= w * level), 0))
+                / (SELECT sum(w) FROM s WHERE 3 * source_size > w * level)
+  FROM lev WHERE k < 60 AND EXISTS (SELECT 1 FROM s WHERE 3 * source_size > w * level)),
+top AS (SELECT max(level) AS level FROM lev),
+t AS (
+  SELECT source, source_size, CASE WHEN 3 * source_size <= w * level
+         THEN CAST(3 * source_size AS DOUBLE) ELSE w * level END AS target FROM s, top),
+p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CAST(floor(target) AS BIGINT) AS budget,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, d.doc_id, size
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+         + least(size, greatest(budget % source_size - before, 0)) END AS BIGINT) AS taken
+FROM p
+"""
+
+
+@query("op3_mix_sources", _OP3_SQL)
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+    return mix_sources(table(spark, sf_dir, "documents"))

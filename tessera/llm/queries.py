@@ -213,3 +213,67 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tree").alias("conv_id"), "n_turns", F.sha2(turns, 256).alias("turns_sha256"),
         F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def _op5_sql() -> str:
+    """The measures, the exact binomial test and the verdict in DuckDB."""
+    from .quality import BANDS, GRID
+    band = " ".join(f"WHEN n_words < {b} THEN {k}" for k, b in enumerate(BANDS))
+    grid = ", ".join(f"('{rule}', {k}, CAST({c} AS DOUBLE))" for rule, g in GRID.items() for k, c in enumerate(g))
+    rate, tests = 0.05 / len(GRID), len(GRID) * (len(BANDS) + 1)
+    share = "coalesce(CAST({} AS DOUBLE) / nullif({}, 0), 0)"
+    value = " ".join(f"WHEN '{k}' THEN {share.format(a, b)}" for k, a, b in (
+        ("symbol_share", "n_symbols", "word_chars"), ("upper_share", "n_upper", "word_chars"),
+        ("dup_line_share", "n_dup_lines", "n_lines"), ("repeat_share", "n_repeat_words", "n_words"),
+        ("digit_share", "n_digits", "word_chars")))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS x, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+tri AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM tri) WHERE c > 1) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         length(x) - length(regexp_replace(x, '[A-Z]', '', 'g')) AS n_upper,
+         length(x) - length(regexp_replace(x, '[0-9]', '', 'g')) AS n_digits,
+         len(l) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN rep ON d.doc_id = rep.doc_id),
+j AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CASE {band} ELSE {len(BANDS)} END AS stratum FROM m),
+lab AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+grid(rule, step, cutoff) AS (VALUES {grid}),
+c AS (
+  SELECT stratum, rule, step, cutoff,
+         count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE NOT good) AS n_bad,
+         count(*) FILTER (WHERE good AND CASE rule {value} END > cutoff) AS r_good,
+         count(*) FILTER (WHERE NOT good AND CASE rule {value} END > cutoff) AS r_bad
+  FROM j JOIN lab USING (doc_id), grid WHERE NOT base_failed GROUP BY ALL),
+p AS (
+  SELECT *, CASE WHEN r_good >= n_good * {rate!r} THEN 1 ELSE list_sum([
+    exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({rate!r}) + (n_good - i) * ln(1 - {rate!r}))
+    for i in range(0, r_good + 1)]) END AS p FROM c),
+ok AS (
+  SELECT *, max(p) OVER (PARTITION BY stratum, rule ORDER BY step) <= {0.05 / tests!r} AS ok,
+         r_bad / nullif(n_bad, 0) - r_good / nullif(n_good, 0) AS gain FROM p),
+cut AS (SELECT stratum, rule, max_by(cutoff, (gain, cutoff)) AS cutoff FROM ok WHERE ok AND gain > 0 GROUP BY ALL),
+bad AS (
+  SELECT DISTINCT j.doc_id FROM j JOIN cut USING (stratum) WHERE CASE rule {value} END > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept
+FROM j
+"""
+
+
+@query("op5_quality_rules", _op5_sql())
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rules")

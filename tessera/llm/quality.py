@@ -13,7 +13,8 @@ Multiple testing: Bonferroni over strata and rules; inside a rule the cutoffs of
 its fixed grid are tested from the mildest on until the first that fails (fixed
 sequence), which needs no correction. Of the certified cutoffs the one that
 rejects the largest share of the labelled bad documents beyond its share of the
-good ones is used, the mildest among equals; a rule without one rejects nothing.
+good ones is used, the mildest among equals; it must reject more bad documents
+than good ones. A rule without such a cutoff rejects nothing.
 
 Base checks (fewer than 50 words; more than half of the words in repeated 3-word
 windows) come first; documents failing them are outside the labelled counts.
@@ -161,7 +162,7 @@ def certified_cutoffs(labelled: DataFrame, risk: float, delta: float) -> DataFra
     order = Window.partitionBy("stratum", "rule").orderBy("step")  # a grid's few rows
     held = steps.withColumn("ok", F.min(ok.cast("int")).over(order)).where("ok = 1")
     gain = F.col("r_bad") / F.col("n_bad") - F.col("r_good") / F.col("n_good")
-    return (held.where("n_bad > 0").withColumn("gain", gain).where("gain > 0")
+    return (held.where("r_bad > r_good").withColumn("gain", gain).where("gain > 0")
             .groupBy("stratum", "rule")
             .agg(F.max_by(F.struct("cutoff", "n_good", "r_good", "n_bad", "r_bad"),
                           F.struct("gain", "cutoff")).alias("c")).select("stratum", "rule", "c.*"))

@@ -264,7 +264,7 @@ p AS (
 ok AS (
   SELECT *, max(p) OVER (PARTITION BY stratum, rule ORDER BY step) <= {0.05 / tests!r} AS ok,
          r_bad / nullif(n_bad, 0) - r_good / nullif(n_good, 0) AS gain FROM p),
-cut AS (SELECT stratum, rule, max_by(cutoff, (gain, cutoff)) AS cutoff FROM ok WHERE ok AND gain > 0 GROUP BY ALL),
+cut AS (SELECT stratum, rule, max_by(cutoff, (gain, cutoff)) AS cutoff FROM ok WHERE ok AND r_bad > r_good AND gain > 0 GROUP BY ALL),
 bad AS (
   SELECT DISTINCT j.doc_id FROM j JOIN cut USING (stratum) WHERE CASE rule {value} END > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -277,3 +277,16 @@ FROM j
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rules")
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .secrets import listing, scan
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = found.select("doc_id", F.filter("secret_spans", lambda s: s["kind"] < 3).alias("base"), "secret_spans")
+    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+             for k, name in enumerate(("assign", "access", "hex"))]
+    return base.select("doc_id", *count, F.sha2(listing(F.col("base")), 256).alias("base_sha256"),
+                       listing(F.col("secret_spans")).alias("spans"))

@@ -290,3 +290,9 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
              for k, name in enumerate(("assign", "access", "hex"))]
     return base.select("doc_id", *count, F.sha2(listing(F.col("base")), 256).alias("base_sha256"),
                        listing(F.col("secret_spans")).alias("spans"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_id
+    return language_id(table(spark, sf_dir, "documents"))[0]

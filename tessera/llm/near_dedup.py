@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import discard, small, stage
 from .words import as_bytes, blocks, inside_text, mix, sequence_hashes, split_words
 
 #: Bins of the one-permutation sketch: BANDS bands of ROWS bins.
@@ -166,15 +166,17 @@ def _confirm(threshold: int):
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, size: int,
               threshold: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full shingle sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = stage(docs.join(ids, docs[id_col] == ids["id"], "left_semi")
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+    # counted: up to 16 MB of ids or pairs travel to the tasks, instead of all texts or sets
+    sets = stage(docs.join(small(ids, 2_000_000), docs[id_col] == ids["id"], "left_semi")
                  .mapInArrow(_sets(id_col, text_col, size), "id long, shingles binary"),
                  "shingle-sets")
-    return (pairs
-            .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-            .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-            .select("a", "b", "left", "right")
-            .mapInArrow(_confirm(threshold), "a long, b long").distinct())
+    sides = [sets.join(small(pairs, 1_000_000), sets["id"] == pairs[k])
+             .select("a", "b", F.col("shingles").alias(side)) for k, side in (("a", "left"), ("b", "right"))]
+    links = stage(sides[0].join(sides[1], ["a", "b"]).select("a", "b", "left", "right")
+                  .mapInArrow(_confirm(threshold), "a long, b long").distinct(), "links")
+    discard(sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -254,7 +256,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
-        found = stage(confirmed(docs, pairs, id_col, text_col, size, threshold), "links")
+        found = confirmed(docs, pairs, id_col, text_col, size, threshold)
         joins = found.isEmpty()
         if joins and links is not None:
             break

@@ -27,7 +27,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._stage_path = path
+    return staged
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a staged table whose every reader has ended."""
+    path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(staged._stage_path)
+    path.getFileSystem(staged.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``rows`` rows
+    (of a few numbers each); else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def shuffle_tasks(df: DataFrame) -> int:

@@ -296,3 +296,61 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import language_id
     return language_id(table(spark, sf_dir, "documents"))[0]
+
+
+#: Rules of the URL filter query.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def _op8_sql(levels: int = 4) -> str:
+    """Parsing, rules and the level-by-level tree in DuckDB."""
+    fits = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{r}'"
+        for v, r in sorted(URL_RULES, key=lambda x: -len(x[1])) for h, _, p in [r.partition("/")])
+    blocked = ", ".join(f"'{r}'" for v, r in URL_RULES if v == "block")
+    out = [rf"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+r AS (SELECT *, CASE {fits} END AS rule FROM u),
+s0 AS (
+  SELECT host, path, count(*) AS n, count(rule) AS labelled, count(*) FILTER (WHERE rule IN ({blocked})) AS blocked,
+         '' AS template, regexp_replace(path, '^/', '') AS rest FROM r GROUP BY host, path)"""]
+    for k in range(levels):
+        out.append(rf""",
+a{k} AS (
+  SELECT * EXCLUDE (rest), CASE WHEN rest <> '' THEN string_split(rest, '/')[1] END AS seg0,
+         CASE WHEN contains(rest, '/') THEN substr(rest, instr(rest, '/') + 1) ELSE '' END AS rest,
+         regexp_replace(seg0, '\.[A-Za-z]{{1,5}}$', '') AS name,
+         length(regexp_replace(name, '[^0-9]', '', 'g')) AS digits,
+         CASE WHEN (2 * digits >= length(name) AND digits > 0) OR regexp_matches(name, '^[0-9a-f-]{{12,}}$')
+              THEN '*' || substr(seg0, length(name) + 1) ELSE seg0 END AS seg FROM s{k}),
+c{k} AS (
+  SELECT host, template, seg, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b
+  FROM a{k} WHERE seg IS NOT NULL GROUP BY ALL),
+b{k} AS (
+  SELECT host, template, seg, CASE
+    WHEN starts_with(seg, '*') THEN seg WHEN children > 20 AND n <= 2 THEN '*' WHEN l = 0 THEN '{{?}}'
+    WHEN CASE WHEN tb / tl * (1 - tb / tl) > 0
+         THEN abs(b / l - tb / tl) / sqrt(tb / tl * (1 - tb / tl) * (1 / l + 1 / tl)) < 1.96
+         ELSE b / l = tb / tl END THEN '{{+}}' ELSE seg END AS branch
+  FROM (SELECT *, count(*) OVER w AS children, sum(l) OVER w AS tl, sum(b) OVER w AS tb
+        FROM c{k} WINDOW w AS (PARTITION BY host, template))),
+s{k + 1} AS (
+  SELECT a.host, a.path, a.n, a.labelled, a.blocked, a.template || coalesce('/' || branch, '') AS template, rest
+  FROM a{k} a LEFT JOIN b{k} b ON a.host = b.host AND a.template = b.template AND a.seg = b.seg)""")
+    out.append(rf""",
+f AS (SELECT host, path, labelled, blocked, template || CASE WHEN rest <> '' THEN '/**' ELSE '' END AS template FROM s{levels}),
+j AS (SELECT host, template, (sum(blocked) + 0.4) / (sum(labelled) + 4) >= 0.5 AS rejected FROM f GROUP BY ALL)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ({blocked}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN rejected THEN 'block' ELSE 'allow' END AS verdict, template
+FROM r JOIN f USING (host, path) JOIN j USING (host, template)""")
+    return "".join(out)
+
+
+@query("op8_url_filter", _op8_sql())
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)

@@ -354,3 +354,9 @@ FROM r JOIN f USING (host, path) JOIN j USING (host, template)""")
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op2_html_extract")
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+    return extract(table(spark, sf_dir, "pages"))

@@ -72,12 +72,13 @@ def _paths(nodes: DataFrame, top: int) -> DataFrame:
         if reach is None or 2 ** len(jumps) > n:  # all at their root; or only cycles left
             break
         jumps.append(jump)
-        a, b = jump.alias("a"), jump.alias("b")
-        jump = stage(
-            a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left")
-            .select("a.tree", "a.node", F.col("b.up").alias("up"),
-                    (F.col("a.steps") + F.coalesce("b.steps", F.lit(0))).alias("steps"),
-                    (F.col("a.sum") + F.coalesce("b.sum", F.lit(0.0))).alias("sum")), "jumps")
+        # only messages that are not at their root yet take another jump
+        a, b = jump.where("up IS NOT NULL").alias("a"), jump.alias("b")
+        further = (a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left")
+                   .select("a.tree", "a.node", F.col("b.up").alias("up"),
+                           (F.col("a.steps") + F.coalesce("b.steps", F.lit(0))).alias("steps"),
+                           (F.col("a.sum") + F.coalesce("b.sum", F.lit(0.0))).alias("sum")))
+        jump = stage(jump.where("up IS NULL").union(further), "jumps")
     done = jump.where("up IS NULL").select("tree", "node", F.col("steps").alias("depth"), "sum")
     parents = nodes.where("parent IS NOT NULL").select("tree", F.col("parent").alias("node")).distinct()
     leaves = done.join(parents, ["tree", "node"], "left_anti")

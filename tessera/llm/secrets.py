@@ -11,8 +11,9 @@ the base spans)
 whose log-likelihood ratio under two bigram models, random strings against
 ordinary identifiers, exceeds ``min_ratio``. The models are trained from labelled
 samples: random strings are digests in several alphabets, made by rule; ordinary
-identifiers are the words of ``sample_docs`` documents (smallest hash of the id,
-without their base matches), joined the way identifiers are. The bigram
+identifiers are the words of about ``sample_docs`` documents (those in a share of
+the hash range of ids, without their base matches), joined the way identifiers
+are. The bigram
 table has a fixed size (characters squared), so it goes into the plan as a
 constant.
 
@@ -94,12 +95,12 @@ def train(docs: DataFrame, id_col: str, text_col: str, sample_docs: int = 300,
         digest, F.base64(F.unhex(digest)), F.upper(digest),
         F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", ""),
         F.translate(F.base64(F.unhex(digest)), "+/", "-_"))).alias("token"), F.lit(1).alias("random"))
-    key = F.xxhash64(F.col(id_col).cast("string"))
     plain = F.col(text_col)
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")
-    sample = (docs.where(F.col(text_col).isNotNull()).select(key.alias("key"), F.col(text_col))
-              .orderBy("key", text_col).limit(sample_docs).repartition(8)
+    # a share of the hash range that holds about sample_docs documents: no task sorts or gathers texts
+    place = F.abs(F.xxhash64(F.col(id_col).cast("string")) % 1_000_000_007) / 1_000_000_007.0
+    sample = (docs.where(place * docs.count() < sample_docs).repartition(8)
               .select(F.regexp_extract_all(plain, F.lit("[A-Za-z0-9+/_=-]{2,}"), F.lit(0)).alias("w")))
     word = sample.select(F.explode(F.arrays_zip("w", F.slice("w", 2, 1 << 30))).alias("z")).select(
         F.col("z")["w"].alias("a"), F.coalesce(F.col("z")["1"], F.lit("id")).alias("b"))

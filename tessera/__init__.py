@@ -5,7 +5,6 @@ Subpackages:
     operators  - DataFrame -> DataFrame jobs (groups, history, text, ...)
     sources    - readers and writers
     plans      - fixture views and the registry of named queries
-    streaming  - (empty: the reference has no streaming operators)
 """
 
 __version__ = "0.1.0"

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources.io import exists
 from .ordinal import with_position
 
 DICT_SCHEMA = "value string, mapped string, chunk long, ok boolean"
@@ -67,10 +68,18 @@ def _safe_mapper(fn: Callable[[str], str]):
     return run
 
 
+def _by_chunk(df: DataFrame) -> DataFrame:
+    """Rows clustered by chunk over a stated number of tasks (adaptive execution
+    would merge small partitions into one task, whatever a call costs)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "chunk")
+
+
 def apply_to_chunks(chunks: DataFrame, fn: Callable[[str], str]) -> DataFrame:
     """``(value, mapped, chunk, ok)`` for every value of the given chunks.
-    Rows are clustered by chunk so one task owns whole chunks."""
-    return (chunks.select("value", "chunk").repartition("chunk")
+    Rows are clustered by chunk so one task owns whole chunks. Write the result
+    (``stored``) before using it twice: each action on it calls ``fn`` again."""
+    return (_by_chunk(chunks.select("value", "chunk"))
             .mapInPandas(_safe_mapper(fn), DICT_SCHEMA))
 
 
@@ -78,20 +87,20 @@ def apply_to_long_text(chunks: DataFrame, fn: Callable[[str], str], width: int =
     """Long values: characters above U+FFFF are dropped, the text is wrapped
     into pieces of at most ``width`` characters, ``fn`` runs per piece and the
     results are joined, each with a leading space."""
-    pieces = chunks.select("value", "chunk",
+    pieces = chunks.select("ordinal", "chunk",
                            F.posexplode_outer(T.wrap_pieces(T.drop_astral("value"), width))
                            .alias("pos", "piece"))
-    mapped = (pieces.select(F.col("piece").alias("value"), "chunk", "pos", F.col("value").alias("__src"))
-              .repartition("chunk")
+    mapped = (_by_chunk(pieces.select(F.col("piece").alias("value"), "chunk", "pos", "ordinal"))
               .mapInPandas(_piece_mapper(fn), "value string, mapped string, chunk long, ok boolean, "
-                                              "pos int, __src string"))
-    joined = mapped.groupBy("__src", "chunk").agg(
+                                              "pos int, ordinal long"))
+    joined = mapped.groupBy("chunk", "ordinal").agg(
         F.sort_array(F.collect_list(F.struct("pos", "mapped"))).alias("__parts"),
-        F.min(F.col("ok").cast("int")).cast("boolean").alias("ok"))
+        F.count("value").alias("n_pieces"), F.min(F.col("ok").cast("int")).cast("boolean").alias("ok"))
     text = F.array_join(F.transform("__parts", lambda p: F.concat(F.lit(" "), p["mapped"])), "")
-    return joined.select(F.col("__src").alias("value"),
-                         F.when(F.col("__src").isNull(), F.lit(None)).otherwise(text).alias("mapped"),
-                         "chunk", "ok")
+    # the text itself is joined back once, it does not travel with its pieces
+    return (chunks.join(joined, ["chunk", "ordinal"])
+            .select("value", F.when(F.col("value").isNull(), F.lit(None)).otherwise(text).alias("mapped"),
+                    "chunk", "ok", "ordinal", "n_pieces"))
 
 
 def _piece_mapper(fn):
@@ -99,11 +108,11 @@ def _piece_mapper(fn):
 
     def run(batches):
         for pdf in batches:
-            extra = pdf[["pos", "__src"]].reset_index(drop=True)
+            extra = pdf[["pos", "ordinal"]].reset_index(drop=True)
             for out in base(iter([pdf[["value", "chunk"]]])):
                 out = out.reset_index(drop=True)
                 out["pos"] = extra["pos"].fillna(0).astype("int32")
-                out["__src"] = extra["__src"]
+                out["ordinal"] = extra["ordinal"].astype("int64")
                 yield out
     return run
 
@@ -116,10 +125,23 @@ def write_chunks(results: DataFrame, path: str) -> None:
 
 def done_chunks(spark, path: str) -> DataFrame:
     """Chunk numbers already written at ``path`` (none if nothing is there)."""
-    try:
-        return spark.read.parquet(path).select("chunk").distinct()
-    except Exception:  # noqa: BLE001 - no output yet
+    if not exists(spark, path):
         return spark.createDataFrame([], "chunk long")
+    return spark.read.parquet(path).select("chunk").distinct()
+
+
+def stored(results: DataFrame, path: str) -> DataFrame:
+    """Write the results as chunk folders and read them back: the function has run
+    once for every value, whatever reads the dictionary later."""
+    write_chunks(results, path)
+    return results.sparkSession.read.parquet(path)
+
+
+def first_missing(done: DataFrame) -> int:
+    """The smallest chunk number without output (chunks count from 0)."""
+    after = done.select((F.col("chunk") + 1).alias("chunk")).union(
+        done.sparkSession.range(1).select(F.col("id").alias("chunk")))
+    return after.join(done, "chunk", "left_anti").agg(F.min("chunk")).first()[0]
 
 
 def pending(chunks: DataFrame, done: DataFrame) -> DataFrame:
@@ -148,20 +170,19 @@ def merge(parts: Sequence[DataFrame], upto_chunk: int | None = None) -> DataFram
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
                      suffix: str = "_en", strict: bool = True) -> DataFrame:
-    """Add ``<col><suffix>`` looked up in the dictionary; null maps to
-    null. ``strict`` raises when a non-null value has no entry (one count)."""
+    """Add ``<col><suffix>`` looked up in the (stored) dictionary; null
+    maps to null. ``strict`` raises when a non-null value is no key of the
+    dictionary; a value that is mapped to null is one."""
     d = dictionary.select("value", "mapped")
+    if strict:
+        used = F.explode(F.array_distinct(F.array(*[F.col(c).cast("string") for c in columns])))
+        n = df.select(used.alias("value")).where("value IS NOT NULL").join(d, "value", "left_anti").count()
+        if n:
+            raise KeyError(f"{n} values are missing from the dictionary")
     out = df
     for c in columns:
         lookup = d.withColumnsRenamed({"value": c, "mapped": f"{c}{suffix}"})
         out = out.join(lookup, c, "left")
-    if strict:
-        miss = F.lit(False)
-        for c in columns:
-            miss = miss | (F.col(c).isNotNull() & F.col(f"{c}{suffix}").isNull())
-        n = out.where(miss).count()
-        if n:
-            raise KeyError(f"{n} rows hold values missing from the dictionary")
     return out
 
 
@@ -175,3 +196,11 @@ def untranslated(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
             .select(F.lit(src).alias("column_name"), "n_rows", "n_values")
         parts = agg if parts is None else parts.unionByName(agg)
     return parts
+
+
+def untranslated_values(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The distinct values themselves, per column."""
+    same = F.array_compact(F.array(*[
+        F.when(F.col(src) == F.col(mapped), F.struct(F.lit(src).alias("column_name"), F.col(src).alias("value")))
+        for src, mapped in pairs]))
+    return df.select(F.explode(same).alias("v")).select("v.*").distinct()

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .ordinal import with_position
 
 # Text columns and the names of their translated copies.
 TRANSLATED = {
@@ -129,13 +128,6 @@ def dimension_lookup(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(dim), key, "left")
 
 
-def label_codes(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """M1: code 0.. of each distinct non-null value in sorted order, as a
-    two-column table (value, code). Distributed positions, no one-task window."""
-    vals = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return with_position(vals, [column], name or f"{column}_code")
-
-
 def label_encode(df: DataFrame, columns: Sequence[str], row_key: str = "item_id",
                  names: Mapping[str, str] | None = None) -> DataFrame:
     """M1: ``row_key`` plus one code column per categorical column: the

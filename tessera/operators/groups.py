@@ -104,9 +104,6 @@ class Feature:
     def name(self) -> str:
         return feature_name(self.keys, self.value, self.stat)
 
-    @property
-    def group_keys(self) -> tuple[str, ...]:
-        return self.keys
 
 
 def feature(keys: Sequence[str], value: str | None, stat: str) -> Feature:
@@ -145,7 +142,7 @@ def key_set_aggregates(df: DataFrame, features: Sequence[Feature]) -> "OrderedDi
     for f in features:
         if f.stat == "cumcount":
             continue
-        by_keys.setdefault(f.group_keys, []).append(f)
+        by_keys.setdefault(f.keys, []).append(f)
     out: OrderedDict[tuple, DataFrame] = OrderedDict()
     for keys, fs in by_keys.items():
         notnull = F.lit(True)
@@ -188,12 +185,3 @@ def mask_target(df: DataFrame, target: str, in_holdout: Column) -> DataFrame:
     so a hold-out row never sees its own target through a group feature."""
     return df.withColumn(target, F.when(in_holdout, F.lit(None).cast("double"))
                          .otherwise(F.col(target)))
-
-
-def leak_safe_target_features(df: DataFrame, key_sets: Sequence[Sequence[str]], target: str,
-                              in_holdout: Column, stats: Sequence[str] = ("mean",),
-                              row_key: str = "item_id") -> DataFrame:
-    """Target statistics over all rows after masking the hold-out targets."""
-    masked = mask_target(df, target, in_holdout)
-    feats = [feature(ks, target, s) for s in stats for ks in key_sets]
-    return group_features(masked, feats, row_key)

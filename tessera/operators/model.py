@@ -12,33 +12,56 @@ back to the rows.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import clip
 from .splits import in_fraction
 
 # Fixed values: (num_leaves, max_depth) pairs of the reference's sweep, largest
-# first. Spark trees are depth-limited (max 30), so only the depth is used.
+# first. Spark trees are limited by depth (30 at most), not by leaves; a sweep
+# over them runs each depth that Spark can build once (``sweep_depths``).
 SWEEP = [(128, 64), (63, 31), (31, 15), (15, 7), (9, 4), (7, 3)]
+MAX_DEPTH = 30  # Spark's limit
 REFERENCE_RMSE = 0.2300  # fixed value: target score of the seed search
 
 
+def sweep_depths() -> list[int]:
+    """Distinct depths of the sweep, as far as Spark can build them, deepest first."""
+    return sorted({min(depth, MAX_DEPTH) for _, depth in SWEEP}, reverse=True)
+
+
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Root mean squared error (one row)."""
     d = F.col(label) - F.col(prediction)
     return df.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
 
 
-def design_matrix(df: DataFrame, dense: Sequence[str], fill: float = -999.0,
-                  output: str = "features") -> tuple[DataFrame, list[str]]:
+def text_vectors(df: DataFrame, terms: Column, max_features: int, output: str,
+                 fit_rows: Column | None = None) -> DataFrame:
+    """Sparse TF-IDF vectors of a term array, L2-normalised, over the
+    ``max_features`` most frequent terms of the fitted rows (all rows, or those of
+    ``fit_rows``); every row gets a vector, an empty one without known terms."""
+    raw, counted, weighted = "__terms", "__counts", "__weights"
+    rows = df.withColumn(raw, F.coalesce(terms, F.array().cast("array<string>")))
+    fit = rows if fit_rows is None else rows.where(fit_rows)
+    counts = CountVectorizer(inputCol=raw, outputCol=counted, vocabSize=max_features).fit(fit)
+    idf = IDF(inputCol=counted, outputCol=weighted).fit(counts.transform(fit))
+    scaled = Normalizer(inputCol=weighted, outputCol=output, p=2.0)
+    return scaled.transform(idf.transform(counts.transform(rows))).drop(raw, counted, weighted)
+
+
+def design_matrix(df: DataFrame, dense: Sequence[str], fill: float = -999.0, output: str = "features",
+                  sparse: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """M2: fill missing values (Spark trees have no missing-value branch) and
-    assemble the dense columns into one vector; returns the column names."""
+    assemble the dense columns and the ``sparse`` vector columns into one vector;
+    returns the names of the dense columns."""
     filled = df.fillna({c: fill for c in dense})
-    asm = VectorAssembler(inputCols=list(dense), outputCol=output, handleInvalid="keep")
+    asm = VectorAssembler(inputCols=[*dense, *sparse], outputCol=output, handleInvalid="keep")
     return asm.transform(filled.withColumns({c: F.col(c).cast("double") for c in dense})), list(dense)
 
 
@@ -47,9 +70,11 @@ def gbt(label: str = "label", features: str = "features", *, max_iter: int = 100
         feature_subset: str = "all", max_bins: int = 64, validation_col: str | None = None,
         validation_tol: float = 0.001, seed: int = 1988) -> GBTRegressor:
     """M3: boosted regression trees; with ``validation_col`` training stops
-    when the validation error stops improving."""
+    when the validation error stops improving. Depths over 30 cannot be built."""
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"Spark trees have at most {MAX_DEPTH} levels, not {max_depth}")
     est = GBTRegressor(labelCol=label, featuresCol=features, maxIter=max_iter,
-                       maxDepth=min(max_depth, 30), stepSize=step_size, subsamplingRate=subsample,
+                       maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsample,
                        featureSubsetStrategy=feature_subset, maxBins=max_bins, seed=seed)
     if validation_col:
         est = est.setValidationIndicatorCol(validation_col)
@@ -60,8 +85,7 @@ def gbt(label: str = "label", features: str = "features", *, max_iter: int = 100
 def predict_clipped(model: GBTRegressionModel, df: DataFrame, key: str,
                     name: str = "deal_probability") -> DataFrame:
     """M4: predictions bounded to [0, 1]."""
-    p = F.col("prediction")
-    return model.transform(df).select(key, F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias(name))
+    return model.transform(df).select(key, clip(F.col("prediction")).alias(name))
 
 
 def fit_and_report(spark, run: str, train: DataFrame, valid: DataFrame, est: GBTRegressor,
@@ -79,23 +103,23 @@ def fit_and_report(spark, run: str, train: DataFrame, valid: DataFrame, est: GBT
     return model, report
 
 
-def cv_rounds(df: DataFrame, fold_col: str, est: GBTRegressor, label: str = "label",
-              k: int | None = None) -> tuple[int, list[float]]:
-    """M6: per fold, fit on the other folds and record the validation error
-    after every round; the best round count minimises the mean error."""
-    folds = [r[0] for r in df.select(fold_col).distinct().orderBy(fold_col).collect()]
-    if k:
-        folds = folds[:k]
-    curves = []
-    for f in folds:
-        model = est.fit(df.where(F.col(fold_col) != f))
-        curves.append(model.evaluateEachIteration(df.where(F.col(fold_col) == f), "squared"))
+def cv_rounds(folds: Iterable[tuple[DataFrame, DataFrame]], est: GBTRegressor) -> tuple[int, list[float]]:
+    """M6: for each fold's (train, scored) tables, fit on the one and record the
+    error on the other after every round; the best round count minimises the
+    mean error. The tables of a fold must not carry its scored targets in their
+    features."""
+    curves = [est.fit(train).evaluateEachIteration(scored, "squared") for train, scored in folds]
     n = min(len(c) for c in curves)
     mean = [sum(c[i] for c in curves) / len(curves) for i in range(n)]
     best = min(range(n), key=lambda i: mean[i]) + 1
     return best, mean
 
 
+def refit(df: DataFrame, est: GBTRegressor, rounds: int) -> GBTRegressionModel:
+    """M6: the final fit on all labelled rows with the chosen number of rounds."""
+    return est.copy({est.maxIter: rounds}).fit(df)
+
+
 def top_importances(model: GBTRegressionModel, names: Sequence[str], spark, k: int = 50) -> DataFrame:
     """The ``k`` most important features (name breaks ties)."""
     imp = model.featureImportances.toArray()

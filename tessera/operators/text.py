@@ -12,8 +12,8 @@ cross-row statistics are aggregations:
 * document frequency and corpus counts: ``groupBy(term)`` with map-side
   partial aggregation (a term in every document is combined before the
   shuffle);
-* a vocabulary limited to ``max_features`` has at most that many rows, so it
-  is broadcast; an unlimited vocabulary is joined by shuffle and AQE splits
+* the vocabulary is joined by term: AQE broadcasts it if its measured size is
+  small; else it is joined by shuffle and AQE splits
   hot terms.
 """
 
@@ -64,11 +64,6 @@ def _mllib_jars() -> list[str]:
     return []
 
 
-def _stop_array(language: str) -> Column:
-    # one array literal (a constant), not an array() call rebuilt per use
-    return F.lit(list(stop_words(language)))
-
-
 def _stop_buckets(language: str) -> Column:
     """Stop words bucketed by first character, as a constant map literal:
     a token is compared with the few words sharing its first character
@@ -100,7 +95,9 @@ def without_stop_words(tokens: Column, language: str | Column | None,
         for code in languages:
             expr = (F.when(language == code, _stop_buckets(code)) if expr is None
                     else expr.when(language == code, _stop_buckets(code)))
-        buckets = expr.otherwise(F.lit(None).cast("map<string,array<string>>"))
+        # a code without a list is an error, not a row that keeps its stop words
+        buckets = expr.when(language.isNull(), F.lit(None).cast("map<string,array<string>>")).otherwise(
+            F.raise_error(F.concat(F.lit("no stop words for language "), language)))
     return F.filter(tokens, lambda t: ~_is_stop(t, buckets))
 
 
@@ -183,10 +180,9 @@ def min_df_filter(stats: DataFrame, min_df: int | None) -> DataFrame:
     return stats if not min_df or min_df <= 1 else stats.where(F.col("df") >= min_df)
 
 
-def _restrict(tf: DataFrame, vocab: DataFrame, limited: bool) -> DataFrame:
+def _restrict(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     v = vocab.select("term", "df")
-    # a limited vocabulary has at most max_features rows: broadcast is bounded
-    return tf.join(F.broadcast(v) if limited else v, "term")
+    return tf.join(v, "term")  # adaptive execution broadcasts it if its measured size is small
 
 
 def tfidf(df: DataFrame, row_key: str, terms: Analyzer | Column, *, sublinear_tf: bool = True,
@@ -209,9 +205,8 @@ def tfidf(df: DataFrame, row_key: str, terms: Analyzer | Column, *, sublinear_tf
         fit_tf = tf
         n_docs = df.count()
     stats = min_df_filter(document_frequency(fit_tf), min_df)
-    limited = bool(max_features and max_features > 0)
     vocab = top_vocabulary(stats, max_features)
-    kept = _restrict(tf, vocab, limited)
+    kept = _restrict(tf, vocab)
     tf_w = (F.lit(1.0) + F.log(F.col("tf"))) if sublinear_tf else F.col("tf").cast("double")
     if smooth_idf:
         idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
@@ -230,9 +225,8 @@ def count_matrix(df: DataFrame, row_key: str, terms: Analyzer | Column, min_df:
     """Raw counts ``(row_key, term, weight)`` over the kept vocabulary."""
     tf = term_counts(df, row_key, terms)
     stats = min_df_filter(document_frequency(tf), min_df)
-    limited = bool(max_features and max_features > 0)
     vocab = top_vocabulary(stats, max_features)
-    return _restrict(tf, vocab, limited).select(row_key, "term", F.col("tf").cast("double").alias("weight"))
+    return _restrict(tf, vocab).select(row_key, "term", F.col("tf").cast("double").alias("weight"))
 
 
 def text_stats(df: DataFrame, row_key: str, fields: Sequence[str], suffix: str = "") -> DataFrame:
@@ -298,21 +292,23 @@ def text_job(df: DataFrame, row_key: str = "item_id", language: str = "russian",
     return dense, sparse
 
 
-def truncated_svd(matrix: DataFrame, row_key: str, k: int, vocab_size: int | None = None):
+def truncated_svd(matrix: DataFrame, row_key: str, k: int, rows_of: DataFrame | None = None):
     """Rank-``k`` truncated SVD of a long-form matrix (no centring).
 
     Terms get column indexes from distributed positions; rows become sparse
     vectors (one row's terms are grouped: bounded by the row's text), and
     ``RowMatrix.computeSVD`` does the distributed Gramian / ARPACK work.
-    Returns ``(scores DataFrame(row_key, svd_1..k), singular values)``.
+    Returns ``(scores DataFrame(row_key, svd_1..k), singular values)``; with
+    ``rows_of`` one row for every row key of that table (zeros without terms).
     """
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
+    from ..session import materialize
     from .ordinal import with_position
 
     terms = with_position(matrix.select("term").distinct(), ["term"], "col")
-    n_cols = vocab_size or terms.count()
+    n_cols = terms.count()
     indexed = matrix.join(terms, "term")
     rows = indexed.groupBy(row_key).agg(
         F.sort_array(F.collect_list(F.struct("col", "weight"))).alias("entries"))
@@ -322,11 +318,17 @@ def truncated_svd(matrix: DataFrame, row_key: str, k: int, vocab_size: int | Non
         val = [float(e["weight"]) for e in r["entries"]]
         return IndexedRow(int(r[row_key]), Vectors.sparse(n_cols, idx, val))
 
-    mat = IndexedRowMatrix(rows.rdd.map(to_row))
+    vectors = rows.rdd.map(to_row).persist()  # every solver pass reads them
+    mat = IndexedRowMatrix(vectors)
     svd = mat.computeSVD(k, computeU=True)
     u = svd.U.rows.map(lambda ir: (ir.index, *[float(x) for x in ir.vector.toArray()]))
     spark = matrix.sparkSession
     scores = spark.createDataFrame(u, [row_key, *[f"svd_{i + 1}" for i in range(k)]])
     s = [float(x) for x in svd.s.toArray()]
-    return scores.select(row_key, *[(F.col(f"svd_{i + 1}") * F.lit(s[i])).alias(f"svd_{i + 1}")
-                                    for i in range(k)]), s
+    names = [f"svd_{i + 1}" for i in range(k)]
+    scaled = materialize(scores.select(row_key, *[(F.col(n) * F.lit(v)).alias(n)
+                                                  for n, v in zip(names, s, strict=True)]))
+    vectors.unpersist()
+    if rows_of is not None:
+        scaled = rows_of.select(row_key).join(scaled, row_key, "left").fillna(0.0, names)
+    return scaled, s

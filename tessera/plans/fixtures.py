@@ -51,8 +51,8 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.join(c, c.c_custkey == o.o_custkey)
         .join(n, n.n_nationkey == c.c_nationkey)
         .join(r, r.r_regionkey == n.n_regionkey)
-        .join(d, d.doc_id == key % F.lit(n_docs))
-        .join(p, p.p_partkey == key % F.lit(n_parts))
+        .join(d, d.doc_id == key % F.lit(n_docs), "left")
+        .join(p, p.p_partkey == key % F.lit(n_parts), "left")
         .join(ret, ret.l_orderkey == key, "left")
     )
     shaped = base.select(
@@ -75,7 +75,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 29 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("c_mktsegment")).alias("user_type"),
         F.when(key % 19 == 0, F.lit(None).cast("int")).otherwise((key % 3000).cast("int")).alias("image_top_1"),
-        F.when(key % 4 == 3, F.lit(None).cast("double"))
+        F.when(key % 4 != 0, F.lit(None).cast("double"))  # only train rows have a target
         .otherwise(F.coalesce(F.col("ret"), F.lit(0.0))).alias("deal_probability"),
         F.when(key % 4 == 0, F.lit("train")).when(key % 4 == 3, F.lit("test"))
         .otherwise(F.lit("active")).alias("split"),
@@ -145,7 +145,7 @@ SELECT o.o_orderkey AS item_id, o.o_custkey AS user_id,
   CASE WHEN c.c_custkey % 29 = 0 THEN NULL ELSE c.c_mktsegment END AS user_type,
   CASE WHEN o.o_orderkey % 19 = 0 THEN NULL
        ELSE CAST(o.o_orderkey % 3000 AS INT) END AS image_top_1,
-  CASE WHEN o.o_orderkey % 4 = 3 THEN NULL ELSE coalesce(l.ret, CAST(0 AS DOUBLE)) END
+  CASE WHEN o.o_orderkey % 4 <> 0 THEN NULL ELSE coalesce(l.ret, CAST(0 AS DOUBLE)) END
        AS deal_probability,
   CASE o.o_orderkey % 4 WHEN 0 THEN 'train' WHEN 3 THEN 'test' ELSE 'active' END
        AS split
@@ -153,8 +153,8 @@ FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
-JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)
-JOIN part p ON p.p_partkey = o.o_orderkey % (SELECT count(*) FROM part)
+LEFT JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)
+LEFT JOIN part p ON p.p_partkey = o.o_orderkey % (SELECT count(*) FROM part)
 LEFT JOIN (SELECT l_orderkey,
              avg(CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE)
                       ELSE CAST(0 AS DOUBLE) END) AS ret

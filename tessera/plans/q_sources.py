@@ -157,7 +157,8 @@ LEFT JOIN (SELECT region, avg(deal_probability) AS v FROM ads GROUP BY region) g
 def q_skip(spark, sf_dir):
     a = ads(spark, sf_dir)
     path = scratch_path(spark, "cache")
-    fp = io.input_fingerprint(spark, [f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet"],
+    fp = io.input_fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in (
+        "orders", "lineitem", "customer", "nation", "region", "documents", "part")],
                               "reg_mean_dp")
 
     def build():

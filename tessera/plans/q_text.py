@@ -258,12 +258,12 @@ def q_wrap(spark, sf_dir):
     return d.select("doc_id", F.posexplode(pieces).alias("piece_no", "piece"))
 
 
-@query("text_svd", "T18")
+@query("text_svd", "T18", oracle="SELECT doc_id FROM documents")
 def q_svd(spark, sf_dir):
-    """Rows only: 3-component truncated SVD of the TF-IDF matrix (signs are
-    arbitrary; orthogonality and singular values are property-tested)."""
+    """3-component truncated SVD of the TF-IDF matrix, one row per document; its
+    values are tested against numpy (signs are arbitrary)."""
     d = _docs(spark, sf_dir)
     terms = TX.analyzed_terms(F.col("text"), ngram_max=1, language=F.col("lang"))
     m = TX.tfidf(d, "doc_id", terms, sublinear_tf=True, smooth_idf=False, max_features=1000)
-    scores, _s = TX.truncated_svd(m, "doc_id", 3)
-    return scores
+    scores, _s = TX.truncated_svd(m, "doc_id", 3, rows_of=d)
+    return scores.select("doc_id")

@@ -218,8 +218,14 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str], params: object
     items = []
     for path in paths:
         fs, p = _fs_path(spark, path)
-        for st in fs.listStatus(p) if fs.isDirectory(p) else [fs.getFileStatus(p)]:
-            items.append((st.getPath().getName(), st.getLen(), st.getModificationTime()))
+        if not fs.isDirectory(p):
+            st = fs.getFileStatus(p)
+            items.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+            continue
+        files = fs.listFiles(p, True)  # partition folders too
+        while files.hasNext():
+            st = files.next()
+            items.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
     return fingerprint(sorted(items), params)
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans import QUERIES
 from tessera.plans.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +37,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]

@@ -1,11 +1,13 @@
 """Group-statistic features joined back to every row.
 
-A feature is (key columns, value column, statistic). Features sharing a key
-set are computed by ONE ``groupBy`` (partial aggregation map-side, so a hot key
-is combined before the shuffle) and joined back to the rows with a left equi
-join: rows with a null key get a null feature, as in pandas. AQE turns the join
-into a broadcast when the aggregate is small at run time (its measured size is
-the bound) and splits a hot key's partition of the row side otherwise.
+A feature is (key columns, value column, statistic). All key sets without an
+entity key (a user) share ONE aggregation of the rows, by the union of their keys;
+the single key sets are derived from that smaller table, and the rows are joined
+once with the result. Key sets with an entity key share another one. Partial
+aggregation combines a hot key map-side before the shuffle; rows with a null key
+get a null feature, as in pandas. AQE turns the joins into broadcasts when the
+aggregates are small at run time (their measured size is the bound) and splits a
+hot key's partition of the row side otherwise.
 Windows over the key are avoided: an unbounded frame holds a whole group.
 """
 
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ordinal import running_index
 
 # The short column names used inside feature names.
@@ -135,6 +138,14 @@ def _agg(f: Feature) -> Column:
     raise ValueError(f.stat)
 
 
+def _all_keys(keys: Sequence[str]) -> Column:
+    """No key is null."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
 def key_set_aggregates(df: DataFrame, features: Sequence[Feature]) -> "OrderedDict[tuple, DataFrame]":
     """One aggregate table per distinct key set, holding all its features.
     Null keys are dropped (pandas ``groupby`` drops them too)."""
@@ -145,13 +156,65 @@ def key_set_aggregates(df: DataFrame, features: Sequence[Feature]) -> "OrderedDi
         by_keys.setdefault(f.keys, []).append(f)
     out: OrderedDict[tuple, DataFrame] = OrderedDict()
     for keys, fs in by_keys.items():
-        notnull = F.lit(True)
-        for k in keys:
-            notnull = notnull & F.col(k).isNotNull()
-        out[keys] = df.where(notnull).groupBy(*keys).agg(*[_agg(f) for f in fs])
+        out[keys] = df.where(_all_keys(keys)).groupBy(*keys).agg(*[_agg(f) for f in fs])
     return out
 
 
+# Statistics that follow from the counts, means and squared deviations of parts.
+MERGEABLE = ("freq", "count", "mean", "var", "std")
+# Key columns with about as many values as there are users: key sets with one of
+# them are aggregated together, and all others together.
+ENTITY_KEYS = frozenset({"user_id", "item_id"})
+
+
+def _merged(f: Feature) -> Column:
+    """The feature of a group from its parts (see ``shared_aggregates``)."""
+    if f.stat == "freq":
+        return F.sum("__rows").alias(f.name)
+    n, m, q = (F.col(f"__{x}_{f.value}") for x in "nmq")
+    count = F.sum(n)
+    if f.stat == "count":
+        return count.alias(f.name)
+    mean = F.sum(n * m) / F.when(count > 0, count)
+    if f.stat == "mean":
+        return mean.alias(f.name)
+    # squared deviations of all parts around the common mean
+    total = F.sum(q) + F.sum(n * m * m) - count * mean * mean
+    var = F.when(count > 1, F.greatest(total, F.lit(0.0)) / (count - 1))
+    return (F.sqrt(var) if f.stat == "std" else var).alias(f.name)
+
+
+def shared_aggregates(df: DataFrame, features: Sequence[Feature]) -> tuple[DataFrame, list[str]]:
+    """All ``features`` of several key sets as one table over the union of their
+    keys. The rows are aggregated once, by the union (counts, means and squared
+    deviations, combined map-side); each key set is derived from that smaller
+    table and joined back to it, so the rows need one join for all key sets."""
+    union = list(dict.fromkeys(k for f in features for k in f.keys))
+    values = list(dict.fromkeys(f.value for f in features if f.value))
+    parts = [F.count(F.lit(1)).alias("__rows")]
+    for v in values:
+        parts += [F.count(v).alias(f"__n_{v}"), F.coalesce(F.avg(v), F.lit(0.0)).alias(f"__m_{v}"),
+                  F.coalesce(F.var_pop(v) * F.count(v), F.lit(0.0)).alias(f"__q_{v}")]
+    fine = materialize(df.groupBy(*union).agg(*parts))
+    by_keys: OrderedDict[tuple, list[Feature]] = OrderedDict()
+    for f in features:
+        by_keys.setdefault(f.keys, []).append(f)
+    out = fine.select(*union)
+    for keys, fs in by_keys.items():
+        derived = fine.where(_all_keys(keys)).groupBy(*keys).agg(*[_merged(f) for f in fs])
+        out = out.join(derived, list(keys), "left")
+    return out, union
+
+
+def _join_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys of which nulls are equal."""
+    right = table.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return rows.join(right, on, "left").drop(*[f"__k_{k}" for k in keys])
+
+
 def group_features(df: DataFrame, features: Sequence[Feature], row_key: str = "item_id",
                    order: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``row_key`` (+ ``keep`` columns) and one column per feature, one row per
@@ -163,8 +226,15 @@ def group_features(df: DataFrame, features: Sequence[Feature], row_key: str = "i
         if f.value:
             needed.add(f.value)
     base = df.select(*[c for c in df.columns if c in needed])
-    out = base
-    for keys, agg in key_set_aggregates(base, features).items():
+    out, alone = base, []
+    for entity in (True, False):
+        group = [f for f in features if f.stat in MERGEABLE and bool(ENTITY_KEYS & set(f.keys)) == entity]
+        if len({f.keys for f in group}) > 1:
+            out = _join_null_safe(out, *shared_aggregates(base, group))
+        else:
+            alone += group
+    alone += [f for f in features if f.stat not in MERGEABLE]
+    for keys, agg in key_set_aggregates(base, alone).items():
         out = out.join(agg, list(keys), "left")
     for f in features:
         if f.stat == "cumcount":

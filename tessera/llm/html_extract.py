@@ -23,7 +23,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .html_blocks import PATH_BUCKETS, Block, blocks_of
 from .html_samples import MAIN, sample_pages

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import frame as Fr
 from ..operators import profile as P
 from ..operators import splits as X
 from .registry import ads, query, r6, r6sql, sql, table

@@ -252,7 +252,7 @@ def q_text_dense(spark, sf_dir):
 
 @query("text_wrap", "T8 T7")
 def q_wrap(spark, sf_dir):
-    """Rows only: pieces of at most 1000 characters (property-tested)."""
+    """Rows only: pieces of at most 1000 characters (tested against Python)."""
     d = table(spark, sf_dir, "documents")
     pieces = T.wrap_pieces(T.drop_astral("text"), 1000)
     return d.select("doc_id", F.posexplode(pieces).alias("piece_no", "piece"))

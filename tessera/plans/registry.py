@@ -3,7 +3,7 @@
 Each query is ``fn(spark, sf_dir) -> DataFrame`` over the supplied tables or
 views derived from them. Oracle SQL is registered next to the query; queries
 that SQL cannot express (model fitting, iterative or randomised ones) have none
-and are checked by row counts and property tests instead.
+and are checked by row counts and tests instead.
 """
 
 from __future__ import annotations

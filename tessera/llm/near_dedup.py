@@ -41,6 +41,8 @@ from .words import as_bytes, blocks, inside_text, mix, sequence_hashes, split_wo
 
 #: Bins of the one-permutation sketch: BANDS bands of ROWS bins.
 BANDS, ROWS = 40, 4
+#: Bytes of text in one numpy pass.
+BLOCK = 2 << 20
 
 
 def shingle_sets(texts, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -112,7 +114,7 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
 
 def _sketch(id_col: str, text_col: str, size: int, bands: int, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
+        for block in blocks(batches, text_col, BLOCK):
             s, at = shingle_sets(as_bytes(block[text_col]), size)
             n = np.diff(at)
             keys = band_keys(sketches(s, at, bands * rows), rows).astype(np.int64)
@@ -132,7 +134,7 @@ def _sketch(id_col: str, text_col: str, size: int, bands: int, rows: int):
 
 def _sets(id_col: str, text_col: str, size: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
+        for block in blocks(batches, text_col, BLOCK):
             s, at = shingle_sets(as_bytes(block[text_col]), size)
             raw = s.tobytes()
             yield from pa.table({
@@ -224,10 +226,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id long, n long, p1 long, p2 long, bands array<long>"), "sketches")
     same_set = ["n", "p1", "p2"]
     named = sketch.where("id IS NOT NULL AND n > 0")
-    classes = named.groupBy(*same_set).agg(F.min("id").alias("rep"))
-    member = stage(named.join(classes, same_set)
-                   .select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")),
-                   "classes")
+    # only sets that several rows have; a written table, so that a skewed join can split its copies
+    classes = stage(named.groupBy(*same_set).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
+                    .where("m > 1").drop("m"), "copies")
+    member = (named.join(classes, same_set, "left").withColumn("rep", F.coalesce("rep", "id"))
+              .select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")))
+    member = stage(member, "classes")
     reps = member.where("bands IS NOT NULL").dropDuplicates(["rep", "bands"])
     in_band = reps.select("rep", "n", F.explode("bands").alias("key"))
     shared = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")

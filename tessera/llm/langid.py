@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import small
 from .words import as_bytes, blocks
 
 WINDOW = 256
@@ -162,7 +163,8 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
                        F.col(text_col).alias("text"))
     size = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = (F.abs(F.col("key") % 1_000_000_007) / 1_000_000_007.0) * F.col("n")
-    picked = rows.join(size, "lang").where(share < per_lang).select("lang", "key", "text")
+    # counted: a table of languages goes to the tasks, texts are not shuffled by language
+    picked = rows.join(small(size, 100_000), "lang").where(share < per_lang).select("lang", "key", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):

@@ -63,6 +63,22 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns(out)
 
 
+# Spark types of the statistics, in the order in which a feature
+# name is searched for them (a name with "count" in it is a count).
+STATISTIC_TYPES = {"count": "long", "nunique": "long", "cumcount": "long",
+                   "var": "double", "std": "double", "mean": "double"}
+
+
+def type_of_feature(name: str) -> str | None:
+    """P5: the type that a feature's name implies (None: none)."""
+    return next((t for word, t in STATISTIC_TYPES.items() if word in name), None)
+
+
+def cast_by_name(df: DataFrame) -> DataFrame:
+    """P5: every column whose name implies a type is cast to it."""
+    return cast_columns(df, {c: t for c in df.columns if (t := type_of_feature(c))})
+
+
 def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Replace nulls per column with a constant."""
     return df.fillna(dict(values))

@@ -202,6 +202,14 @@ def length_profile(df: DataFrame, column: str, longer_than: int) -> DataFrame:
                   F.max(n).alias("max_len"), F.min(n).alias("min_len"))
 
 
+def value_lengths(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Length of every distinct value: ``column_name, value, length``."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                      for c in columns])
+    return (df.select(F.explode(cells).alias("c")).select("c.*").where("value IS NOT NULL").distinct()
+            .withColumn("length", F.length("value")))
+
+
 # -- overlaps, first / last, positions -------------------------------------------
 
 def key_overlap(left: DataFrame, right: DataFrame, column: str) -> DataFrame:

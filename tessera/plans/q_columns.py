@@ -72,6 +72,16 @@ def q_cast(spark, sf_dir):
                                "image_top_1": "string"})
 
 
+@query("cast_by_feature_name", "P5",
+       oracle=sql("""SELECT item_id, CAST(image_top_1 AS BIGINT) AS img1_count, CAST(image_top_1 AS BIGINT) AS img1_cumcount,
+  CAST(image_top_1 AS DOUBLE) AS img1_mean, CAST(image_top_1 AS DOUBLE) AS img1_var,
+  CAST(image_top_1 AS VARCHAR) AS img1 FROM ads"""))
+def q_cast_by_name(spark, sf_dir):
+    text = F.col("image_top_1").cast("string")
+    names = ("img1_count", "img1_cumcount", "img1_mean", "img1_var", "img1")
+    return Fr.cast_by_name(ads(spark, sf_dir).select("item_id", *[text.alias(n) for n in names]))
+
+
 @query("sentinel_nulls", "P6",
        oracle=sql("""SELECT item_id, CASE WHEN param_1 = '0' THEN NULL ELSE param_1 END AS param_1,
   CASE WHEN image_top_1 = 0 THEN NULL ELSE image_top_1 END AS image_top_1 FROM ads"""))

@@ -91,12 +91,22 @@ def q_colour(spark, sf_dir):
                     r6("dark_percent").alias("dark_percent"))
 
 
+@query("colour_stats_rounded", "R5",
+       oracle=COLOUR_SQL.replace("AS light,\n", "AS light0,\n").replace(
+           "AS dark\n  FROM top", "AS dark0,\n    round_even(light0, 2) AS light, round_even(dark0, 2) AS dark\n  FROM top"))
+def q_colour_rounded(spark, sf_dir):
+    """Each half's percentages rounded to two digits before their mean."""
+    c = R.colour_stats(_pixels(spark, sf_dir))
+    return c.select("image_id", r6("light_percent").alias("light_percent"),
+                    r6("dark_percent").alias("dark_percent"))
+
+
 def _page_files(spark, sf_dir):
     """Each page written as its own file under the scratch folder, then
     listed back with the binary file source."""
     path = scratch_path(spark, "pages")
     table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
-    files = R.list_files(spark, path)
+    files = R.list_files(spark, path, "*.txt")  # not the writer's marker files
     return files.withColumn("page_id", F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long"))
 
 

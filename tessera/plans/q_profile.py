@@ -136,6 +136,16 @@ def q_length_profile(spark, sf_dir):
     return P.length_profile(table(spark, sf_dir, "documents"), "text", 1000)
 
 
+_LENGTH_COLUMNS = ["title", "param_1", "param_2", "param_3"]
+
+
+@query("value_lengths", "A30",
+       oracle=sql(" UNION ".join(f"SELECT '{c}' AS column_name, {c} AS value, CAST(length({c}) AS INTEGER) AS length "
+                                 f"FROM ads WHERE {c} IS NOT NULL" for c in _LENGTH_COLUMNS)))
+def q_value_lengths(spark, sf_dir):
+    return P.value_lengths(ads(spark, sf_dir), _LENGTH_COLUMNS)
+
+
 @query("key_overlap_users", "J8",
        oracle=sql("""SELECT count(*) FILTER (WHERE r.k IS NULL) AS only_left,
   count(*) FILTER (WHERE l.k IS NULL) AS only_right,

@@ -143,17 +143,19 @@ def q_vocab(spark, sf_dir):
     return TX.top_vocabulary(stats, 1000).select("term", "df", F.col("total").cast("long").alias("total"))
 
 
-def _tfidf_sql(*, stop, ngram_max, min_len, sublinear, smooth, max_features) -> str:
+def _tfidf_sql(*, stop, ngram_max, min_len, sublinear, smooth, max_features, fit="TRUE") -> str:
     head = []
     if stop:
         head.append("stops AS (" + _stops_sql() + ")")
     head.append(_grams_sql("documents", "doc_id", "text", stop=stop, ngram_max=ngram_max,
                            min_len=min_len))
-    vocab = "SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term"
+    # the rows that the vocabulary and the document frequencies are learnt from
+    vocab = ("SELECT term, count(*) AS df, sum(tf) AS total FROM tf "
+             f"WHERE doc_id IN (SELECT doc_id FROM documents WHERE {fit}) GROUP BY term")
     if max_features:
         vocab += f" ORDER BY total DESC, term LIMIT {max_features}"
     tfw = "(1 + ln(tf.tf))" if sublinear else "CAST(tf.tf AS DOUBLE)"
-    n = "(SELECT CAST(count(*) AS DOUBLE) FROM documents)"
+    n = f"(SELECT CAST(count(*) AS DOUBLE) FROM documents WHERE {fit})"
     idf = f"(ln((1 + {n}) / (1 + v.df)) + 1)" if smooth else f"(ln({n} / v.df) + 1)"
     return _with(*head) + f""", vocab AS ({vocab}),
 w AS (SELECT tf.doc_id, tf.term, {tfw} * {idf} AS w FROM tf JOIN vocab v ON tf.term = v.term)
@@ -180,6 +182,18 @@ def q_tfidf_smooth(spark, sf_dir):
     return m.select("doc_id", "term", r6("weight").alias("weight"))
 
 
+@query("tfidf_train_fit", "T16 T14",
+       oracle=_tfidf_sql(stop=False, ngram_max=1, min_len=2, sublinear=True, smooth=False,
+                         max_features=500, fit="doc_id % 4 = 0"))
+def q_tfidf_train_fit(spark, sf_dir):
+    """Vocabulary and document frequencies from the train rows, weights for all."""
+    d = _docs(spark, sf_dir)
+    terms = TX.analyzed_terms(F.col("text"), ngram_max=1, min_token_len=2)
+    m = TX.tfidf(d, "doc_id", terms, sublinear_tf=True, smooth_idf=False, max_features=500,
+                 fit_rows=F.col("doc_id") % 4 == 0)
+    return m.select("doc_id", "term", r6("weight").alias("weight"))
+
+
 # -- the three-field union and the text job --------------------------------------------
 
 def _doc_ads(spark, sf_dir):

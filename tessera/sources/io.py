@@ -45,11 +45,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              columns: Sequence[str] | None = None, dates: Sequence[str] = (),
-             date_format: str | None = None) -> DataFrame:
+             date_format: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header; text fields may hold line breaks and
-    quotes. With ``schema`` nothing is inferred (one pass, stable types);
+    quotes (then a file is one task; ``multi_line=False`` splits large files
+    whose fields hold no line breaks). With ``schema`` nothing is inferred (one pass, stable types);
     ``columns`` prunes, ``dates`` parses text dates."""
-    reader = (spark.read.option("header", True).option("multiLine", True)
+    reader = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("quote", '"').option("escape", '"'))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)

@@ -30,6 +30,7 @@ HEADLINE = [
     "dictionary_apply",
     "colour_stats",
     "seed_search",
+    "gbt_fit_report",
 ]
 
 

@@ -20,7 +20,7 @@ def main() -> None:
     for q, tags in IDS.items():
         for t in tags.split():
             cov.setdefault(t, []).append(q)
-    print("| ID | Queries (D = DuckDB oracle, R = rows + property tests) |")
+    print("| ID | Queries (D = DuckDB oracle, R = rows + tests) |")
     print("| --- | --- |")
     for i in ids:
         qs = ", ".join(f"`{q}` ({'D' if q in ORACLES else 'R'})" for q in cov.get(i, []))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import small
+from .staging import small, stage
 from .words import as_bytes, blocks
 
 WINDOW = 256
@@ -161,7 +161,7 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
     rows = labelled.where(F.col(lang_col).isNotNull() & F.rlike(F.coalesce(text_col, F.lit("")), F.lit(LETTER)))
     rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("key"),
                        F.col(text_col).alias("text"))
-    size = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    size = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     share = (F.abs(F.col("key") % 1_000_000_007) / 1_000_000_007.0) * F.col("n")
     # counted: a table of languages goes to the tasks, texts are not shuffled by language
     picked = rows.join(small(size, 100_000), "lang").where(share < per_lang).select("lang", "key", "text")

@@ -39,9 +39,9 @@ def discard(staged: DataFrame) -> None:
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to have at most ``rows`` rows
-    (of a few numbers each); else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, a staged table, with a broadcast hint if it is counted to have at
+    most ``rows`` rows (of a few numbers each); else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def shuffle_tasks(df: DataFrame) -> int:

@@ -13,11 +13,13 @@
    components (alternating large and small stars).
 5. Buckets that still hold several components send stars from the best centre
    outside the first centre's component, until a round joins nothing more.
+6. Buckets that hold several components even without those two centres are
+   finished exactly (``_rest_pairs``): of their members, each pair that can be
+   similar enough is confirmed, whoever the centres were.
 
 With 40 bands of 4 bins two texts at the similarity 0.75 share no bucket with
-probability 2.5e-7. A link between two texts neither of which links to any
-centre of their shared buckets, nor to a text that does, is not found; README
-has measured figures.
+probability 2.5e-7; links between texts that share a bucket are all found or
+joined over other links.
 
 Defined results: a null or empty text has an empty set, links with nothing and is
 its own component; a text with fewer words than a shingle has its whole sequence
@@ -43,6 +45,9 @@ from .words import as_bytes, blocks, inside_text, mix, sequence_hashes, split_wo
 BANDS, ROWS = 40, 4
 #: Bytes of text in one numpy pass.
 BLOCK = 2 << 20
+#: A shingle of more of the texts left after the stars than this is a hot one
+#: (more, if there would be over HOT_MOST: they travel to the tasks).
+HOT, HOT_MOST = 64, 500_000
 
 
 def shingle_sets(texts, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -181,6 +186,88 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, siz
     return links
 
 
+def _tokens(text_col: str, size: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col, BLOCK):
+            s, _ = shingle_sets(as_bytes(block[text_col]), size)
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], ["s"])
+
+    return work
+
+
+def _cold_prefix(id_col: str, text_col: str, size: int, hot, threshold: int):
+    """Task function: size of each set, its number of hot shingles and the first
+    of the others by hash: as many as must hold a shared one, if a similar
+    enough set shares any of them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = hot.value
+        for block in blocks(batches, text_col, BLOCK):
+            s, at = shingle_sets(as_bytes(block[text_col]), size)
+            n = np.diff(at)
+            cold = np.searchsorted(known, s) == np.searchsorted(known, s, "right")
+            before = np.concatenate(([0], np.cumsum(cold)))
+            owner = np.repeat(np.arange(len(n)), n)
+            need = n - -(-threshold * n // 100) + 1
+            first = cold & (before[:-1] - before[at[owner]] < need[owner])
+            offsets = np.concatenate(([0], np.cumsum(first)))[at]
+            yield from pa.table({
+                "id": block[id_col], "n": pa.array(n.astype(np.int64)),
+                "h": pa.array((n - np.diff(before[at])).astype(np.int64)),
+                "prefix": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(s[first].view(np.int64))),
+            }).to_batches()
+
+    return work
+
+
+def _rest_pairs(docs: DataFrame, rest: DataFrame, id_col: str, text_col: str, size: int,
+                threshold: int, hot: int) -> DataFrame:
+    """Pairs (a, b) of different components that can be similar enough, among the
+    bucket members ``rest`` (key, rep, n, component).
+
+    In an order of all shingles that has the hot ones last, the first shingle
+    that two similar enough sets share is in the prefixes of both. If it is not
+    hot, the pair meets there (a shingle that is not hot has at most ``hot``
+    texts, so these pairs grow with the texts). If it is, they share hot ones
+    only; then ``(100 + threshold) * h >= threshold * (n + other n)`` for both,
+    which few texts meet that the stars have not joined, and those are paired
+    inside their buckets.
+    """
+    spark = docs.sparkSession
+    label = stage(rest.select(F.col("rep").alias("id"), "component").distinct(), "rest-ids")
+    texts = docs.join(small(label.select("id"), 2_000_000), docs[id_col] == label["id"], "left_semi")
+    often = stage(texts.mapInArrow(_tokens(text_col, size), "s long").groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+                  .where(F.col("c") > hot), "often")
+    while often.where(F.col("c") > hot).count() > HOT_MOST:
+        hot *= 2
+    known = often.where(F.col("c") > hot).select("s").toArrow()["s"].to_numpy().view(np.uint64)
+    known = spark.sparkContext.broadcast(np.sort(known))
+    text = stage(texts.mapInArrow(_cold_prefix(id_col, text_col, size, known, threshold),
+                                  "id long, n long, h long, prefix array<long>")
+                 .where("n > 0").join(small(label, 1_000_000), "id"), "rest-prefixes")
+    near = F.expr(f"100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)") & F.expr("x.component <> y.component")
+    # at most ``hot`` texts for each shingle
+    met = (text.select(F.explode("prefix").alias("s"), F.struct("id", "n", "component").alias("t"))
+           .groupBy("s").agg(F.collect_set("t").alias("x"), F.min("t.component").alias("low"), F.max("t.component").alias("high"))
+           .where("low < high")
+           .select(F.explode("x").alias("x"), F.col("x").alias("y")).select("x", F.explode("y").alias("y"))
+           .where("x.id < y.id").where(near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+    # hot ones only: (100 + threshold) * h - threshold * n bounds the other's threshold * n
+    able = (rest.select("key", "rep", "n").distinct()
+            .join(text.drop("prefix").withColumnRenamed("id", "rep").where(
+                100 * F.col("h") >= threshold * F.col("n")), ["rep", "n"])
+            .withColumn("reach", (100 + threshold) * F.col("h") - threshold * F.col("n")))
+    able = stage(able, "rest-hot")
+    least = able.groupBy("key").agg(F.min("n").alias("least"))
+    able = able.join(least, "key").where(F.col("reach") >= threshold * F.col("least")).drop("least")
+    several = able.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    able = stage(able.join(several.select("key"), "key", "left_semi"), "rest-hot")
+    both = (able.alias("x").join(able.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr("x.rep < y.rep") & near
+                                 & F.expr(f"x.reach >= {threshold} * y.n AND y.reach >= {threshold} * x.n"))
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")))
+    return met.union(both).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): ``id, component`` with
     the smallest id reachable, for the ids that have an edge.
@@ -213,7 +300,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = 5, threshold: int = 75, bands: int = BANDS,
-                    rows: int = ROWS) -> DataFrame:
+                    rows: int = ROWS, hot: int = HOT) -> DataFrame:
     """Components of documents whose shingle sets are similar.
 
     Returns one row per row of ``docs``: ``id_col, n_shingles`` (size of its
@@ -261,14 +348,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         found = confirmed(docs, pairs, id_col, text_col, size, threshold)
-        joins = found.isEmpty()
-        if joins and links is not None:
-            break
+        none = found.isEmpty()
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
-        label = stage(components(links), "components")
-        if joins:
+        if none and label is not None:
             break
+        label = stage(components(links), "components")
+    # both centres of the last round have met all; the others of a bucket not yet
+    first = held.groupBy("key").agg(best.alias("c"))
+    second = (held.join(first, "key").where("component <> c.component").groupBy("key").agg(best.alias("d")))
+    rest = held.join(first, "key").join(second, "key").where("rep <> c.rep AND rep <> d.rep")
+    several = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = stage(rest.join(several.select("key"), "key", "left_semi").select("key", "rep", "n", "component"), "rest")
+    if not rest.isEmpty():
+        pairs = _rest_pairs(docs, rest, id_col, text_col, size, threshold, hot)
+        pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = confirmed(docs, pairs, id_col, text_col, size, threshold)
+        if not found.isEmpty():
+            label = stage(components(links.union(found)), "components")
     result = (member.select("id", "rep").distinct()
               .join(label.withColumnRenamed("id", "rep"), "rep", "left")
               .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")))

@@ -137,6 +137,27 @@ def test_near_dedup_chain(spark):
     assert {r["component_id"] for r in near_duplicates(table(spark, data)).collect()} == {0}
 
 
+@pytest.mark.parametrize("hot", [64, 1])
+def test_near_dedup_hot_passage(spark, hot):
+    """Texts just under the threshold with each other, and near copies among them."""
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(200)]
+    tail = [[f"t{d}x{k}" for k in range(35)] for d in range(200)]
+    for d in range(0, 120, 2):  # 0.777 with the next one, 0.737 with all others
+        tail[d + 1][:6] = tail[d][:6]
+    data = [(d, " ".join(passage + t), None) for d, t in enumerate(tail)]
+    rng.shuffle(data)
+    found = near_dup(spark, data, hot)
+    want = components(data)
+    assert found == {i: want[i] for i in found} and len(set(want.values())) == 140
+
+
+def near_dup(spark, data, hot):
+    from tessera.llm.near_dedup import near_duplicates
+    found = near_duplicates(table(spark, data), hot=hot)
+    return {r["doc_id"]: r["component_id"] for r in found.collect()}
+
+
 def hits(data, items, n):
     want = {}
     windows = defaultdict(set)

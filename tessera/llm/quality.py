@@ -57,7 +57,7 @@ def measures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     outside it too: Catalyst then computes them once, not once per element.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.trim(F.lit(" \t\x0b\x0c\r"), x)) > 0)
+    lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     one = docs.select(
         F.col(id_col).alias("id"), F.array_remove(F.split(text, _GAP, -1), "").alias("w"), lines.alias("lines"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).alias("n_symbols"),

@@ -261,6 +261,15 @@ def test_quality(spark, docs):
     assert quality_rules(table(spark, []), labels).count() == 0
 
 
+def test_quality_blank_lines(spark):
+    """Only lines with a word count, however many empty or white-space lines there are."""
+    from tessera.llm.quality import measures
+    data = [(1, "one\n\ntwo\n\nthree\n\n\none", "q"), (2, "\n\n \n \n\t\n\t\n", "q"), (3, "a\n \n \n\r\n\r\n\x0b\n\x0c\nb", "q"),
+            (4, " a\n a\na", "q")]
+    got = {r["id"]: (r["n_lines"], r["n_dup_lines"]) for r in measures(table(spark, data), "doc_id", "text").collect()}
+    assert got == {1: (4, 1), 2: (0, 0), 3: (2, 0), 4: (3, 1)}
+
+
 def test_binomial(spark):
     from pyspark.sql import functions as F
 

@@ -11,7 +11,10 @@ is confirmed on the words themselves.
 Hot passages: before anything travels, each task marks the windows that repeat
 inside one of its blocks of text. They have an earlier copy already, so only the
 block's first copy travels: a passage in a third of all documents costs one
-packed string per block. The packed strings of a block that go to one part of
+packed string per block. Windows that straddle the passage's edge differ in every
+document and share a few minimisers: minimisers of more than ``HOT`` windows are
+counted first, and their windows travel one by one to the bucket of the whole
+window's hash, so no bucket is held by one task but that of equal windows. The packed strings of a block that go to one part of
 the buckets share a compressed parcel; a task opens one part at a time.
 
 Defined results: a null or empty text has no words and keeps nothing; a text
@@ -39,6 +42,9 @@ from .words import (
 NULL_ID = 2**63 - 1
 #: Parts of the minimisers for each shuffle partition; a task holds one part at a time.
 PARTS = 16
+#: A minimiser of more windows than this is hot; a block reports its minimisers of
+#: SEEN different windows or more, so HOT + SEEN windows a block are the bound.
+HOT, SEEN = 200_000, 32
 _TRAVEL = "part int, n int, size long, parcel binary"
 _SPANS = "doc long, start int, n int"
 
@@ -82,7 +88,43 @@ def repeated_windows(words: Words, n: int, doc: np.ndarray, start: np.ndarray) -
     return flags
 
 
-def _pack(id_col: str, text_col: str, window: int, core: int, parts: int):
+def minimisers(words: Words, window: int, core: int) -> np.ndarray:
+    """Smallest hash of a ``core``-word sequence in the window at each word (0
+    where the block ends before the window does)."""
+    core_hash = np.full(len(words), np.uint64(2**64 - 1))
+    got = mix(sequence_hashes(words.hashes(), core))
+    core_hash[:len(got)] = got
+    smallest = np.zeros(len(words), np.uint64)
+    got = sliding_min(core_hash, window - core + 1) if len(words) >= window else got[:0]
+    smallest[:len(got)] = got
+    return smallest
+
+
+def _often(text_col: str, window: int, core: int, seen: int):
+    """Task function: the block's minimisers of ``seen`` different windows or more."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col):
+            words = split_words(as_bytes(block[text_col]))
+            at = np.flatnonzero(inside_text(words, window))
+            if not len(at):
+                continue
+            _, first = np.unique(sequence_hashes(words.hashes(), window)[at], return_index=True)
+            m, n = np.unique(minimisers(words, window, core)[at[first]], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(m[n >= seen].astype(np.int64)), pa.array(n[n >= seen])], ["m", "n"])
+
+    return work
+
+
+def hot_minimisers(docs: DataFrame, text_col: str, window: int, core: int, hot: int, seen: int) -> np.ndarray:
+    """Minimisers of more than ``hot`` windows, sorted; fewer than windows / hot."""
+    found = (docs.select(text_col).mapInArrow(_often(text_col, window, core, seen), "m long, n long")
+             .groupBy("m").agg(F.sum("n").alias("n")).where(F.col("n") > hot).select("m"))
+    return np.sort(np.array([r["m"] for r in found.collect()], np.int64).view(np.uint64))
+
+
+def _pack(id_col: str, text_col: str, window: int, core: int, parts: int, hot):
     """Task function: packed strings of the windows that have no earlier copy in
     their block, in one compressed parcel for each block and part (a part holds
     the buckets of ``1 / parts`` of the minimisers), and the spans of the windows
@@ -100,12 +142,12 @@ def _pack(id_col: str, text_col: str, window: int, core: int, parts: int):
             start = np.arange(len(words)) - np.repeat(words.first[:-1], per_text)
             again = repeated_windows(words, window, doc, start)
             fresh = inside_text(words, window) & ~again
-            core_hash = np.full(len(words), np.uint64(2**64 - 1))
-            got = mix(sequence_hashes(words.hashes(), core))
-            core_hash[:len(got)] = got
-            smallest = np.zeros(len(words), np.uint64)
-            got = sliding_min(core_hash, window - core + 1) if len(words) >= window else got[:0]
-            smallest[:len(got)] = got
+            smallest = minimisers(words, window, core)
+            known = hot.value
+            if len(known):  # the windows of hot minimisers go by their own hash
+                at = np.flatnonzero(fresh)
+                at = at[np.searchsorted(known, smallest[at]) < np.searchsorted(known, smallest[at], "right")]
+                smallest[at] ^= mix(sequence_hashes(words.hashes(), window)[at])
             at, n = runs(fresh, smallest, words.text_of())
             text, offset = words.joined()
             begin, end = offset[at], offset[at + n + window - 1] - 1
@@ -185,7 +227,7 @@ def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 20, core: int = 6) -> DataFrame:
+                   window: int = 20, core: int = 6, hot: int = HOT, seen: int = SEEN) -> DataFrame:
     """Spans of word windows that also start earlier: ``doc, start, n``.
 
     ``n`` consecutive windows from word ``start`` of the document repeat an
@@ -193,8 +235,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     make a minimiser: fewer travel less text, more make hot minimisers rarer.
     """
     tasks = shuffle_tasks(docs)
+    known = docs.sparkSession.sparkContext.broadcast(hot_minimisers(docs, text_col, window, core, hot, seen))
     return (docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
-            .mapInArrow(_pack(id_col, text_col, window, core, tasks * PARTS), _TRAVEL)
+            .mapInArrow(_pack(id_col, text_col, window, core, tasks * PARTS, known), _TRAVEL)
             .repartition(tasks, "part")
             .sortWithinPartitions("part")
             .mapInArrow(_count(window), _SPANS))

@@ -96,6 +96,39 @@ def test_substring_dedup(spark, docs):
     assert remove_repeats(table(spark, []), window=n).count() == 0
 
 
+def test_substring_hot_minimiser(spark):
+    """Windows over the edges of a shared passage don't meet in a few buckets, and
+    results are those of unsplit minimisers."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.llm import substring_dedup as s
+    rng = random.Random(17)
+    passage = " ".join(f"p{k}" for k in range(25))
+    own = lambda: " ".join(f"v{rng.randrange(10**9)}" for _ in range(15))
+    data = [(k, f"{own()} {passage} {own()}", None) for k in range(300)]
+    data += [(300 + k, t, None) for k, (_, t, _) in enumerate(data[:20])]
+    spans = [sorted(tuple(r) for r in s.repeated_spans(table(spark, data), hot=hot, seen=1).collect())
+             for hot in (10**9, 50)]
+
+    def places(found):
+        return {(d, k) for d, at, n in found for k in range(at, at + n)}
+    assert places(spans[0]) == places(spans[1])
+    assert {(300, k) for k in range(36)} <= places(spans[1]) and (0, 15) not in places(spans[1])
+    hot = s.hot_minimisers(table(spark, data), "text", 20, 6, 50, 1)
+    assert len(hot)
+    rows = pa.RecordBatch.from_pydict({"id": pa.array([r[0] for r in data], pa.int64()), "text": [r[1] for r in data]})
+    words = Counter()
+    for out in s._pack("id", "text", 20, 6, 64, SimpleNamespace(value=hot))(iter([rows])):
+        for part, n, size, parcel in zip(*(c.to_pylist() for c in out.columns)):
+            if n > 0:
+                _, _, _, text = s._open(parcel, size, n)
+                words[part] += len(text)
+    assert max(words.values()) < 3 * np.median(list(words.values()))
+
+
 def test_equal_hashes_are_confirmed():
     """Windows that only share a hash are not taken for repeats."""
     import numpy as np

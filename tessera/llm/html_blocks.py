@@ -10,11 +10,19 @@ from dataclasses import dataclass
 #: Buckets of the hashed tag-path tokens.
 PATH_BUCKETS = 4096
 
-# Comments and elements whose content is no text; tags (quoted values may hold
+# Comments and raw-text elements, which run to their end tag or the page's end;
+# drawings that are closed before page markup comes, the hidden sources of
+# formulas, embedded elements without any text; tags (quoted values may hold
 # '>', a quote that is still open at the next '<' is not one).
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|svg|iframe|object|math|canvas|audio|video)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|template)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg\b[^>]*(?<!/)>(?:(?!<svg\b|</?(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i"
+    r"|img|li|menu|meta|nobr|ol|p|pre|ruby|s|section|article|small|span|strong|strike|sub|sup|table|td|tr|tt|u|ul|var)\b)"
+    r".)*?</svg\s*>"
+    r"|<(?P<note>annotation(?:-xml)?)\b[^>]*(?<!/)>(?:(?!</?math\b).)*?</(?P=note)\s*>"
+    r"|<(?P<empty>noscript|object|audio|video|canvas|iframe)\b[^>]*(?<!/)>(?:\s|<(?!(?P=empty)\b|/(?P=empty)\b)[^>]*>)*"
+    r"</(?P=empty)\s*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>[^<>\"']*(?:(?:\"[^\"<]*\"|'[^'<]*')[^<>\"']*)*|[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL)
@@ -24,7 +32,9 @@ _TOKEN = re.compile(r"[a-z]+")
 # HTML's inline elements, elements without an end tag, and the
 # elements that an opening tag ends implicitly.
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp
-small span strike strong sub sup time tt u var wbr img""".split())
+small span strike strong sub sup time tt u var wbr img svg math semantics mi mn mo ms mtext mspace mrow mfrac msqrt
+mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mtable
+mtr mtd""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}

@@ -48,6 +48,23 @@ def test_extract(spark, labeller):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_blocks_behind_embedded_elements():
+    """No text is lost behind elements that are empty or never closed."""
+    from tessera.llm.html_blocks import blocks_of
+
+    def texts(page):
+        return [b.text for b in blocks_of(page)]
+    want = ["one", "two", "three"]
+    for tag in ('<svg class="i"/>', "<svg>", "<math/>", "<noscript>", "<object>", "<audio src=a>", "<video>", "<canvas>",
+                "<svg><title>icon</title></svg>", "<noscript><img src=a></noscript>", "<video><source src=a></video>",
+                "<script>x</script>", "<iframe src=a></iframe>", "<iframe>"):
+        assert texts(f"<p>one</p><p>{tag}two</p><p>three</p>") == want, tag
+    formula = ("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow>"
+               "<annotation encoding='application/x-tex'>x = 1</annotation></semantics></math>")
+    assert texts(f"<p>one</p><p>so {formula} holds</p><p>three</p>") == ["one", "so x=1 holds", "three"]
+    assert texts("<p>one</p><script>two</p><p>three</p>") == ["one"]
+
+
 def test_extract_edges(spark, labeller):
     from tessera.llm.html_extract import extract
     long = "<article>" + "<p>Some &lt;long&gt; &amp; plain text of the story, told once more.</p>" * 3000 + "</article>"

@@ -6,8 +6,8 @@ separator and a value of 8 characters or more), ``access`` (access key ids),
 ``hex`` (32 hexadecimal digits or more). A pattern's match positions come from the
 lengths of the pieces that ``split`` leaves between its matches.
 
-``markov`` spans: runs of token characters (20 or more, 8 different ones, outside
-the base spans)
+``markov`` spans: runs of token characters (20 or more, 8 different ones; what
+base spans leave of a run is judged stretch by stretch)
 whose log-likelihood ratio under two bigram models, random strings against
 ordinary identifiers, exceeds ``min_ratio``. The models are trained from labelled
 samples: random strings are digests in several alphabets, made by rule; ordinary
@@ -37,7 +37,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 
 KINDS = ("assign", "access", "hex", "markov")
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST = 20
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 #: Characters of the Markov models, one state each.
 STATES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Log of the odds against a token being a secret, before it is read.
@@ -137,11 +138,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
 
     based = docs.select("*", base_spans(F.col(text_col)).alias("__base"),
                         spans_of(text, TOKEN, 3).alias("__tokens"))
-    own = F.filter("__tokens", lambda t: ~F.exists(
-        F.col("__base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])) & random_like(t["value"]))
+    based = based.withColumn("__tokens", _outside(F.col("__tokens"), F.col("__base")))
+    own = F.filter("__tokens", lambda t: random_like(t["value"]))
     return based.select(*docs.columns, F.sort_array(F.concat("__base", own)).alias("secret_spans"))
 
 
+def _outside(tokens: Column, base: Column) -> Column:
+    """The stretches of the tokens, long enough for one, outside the base spans."""
+    def cut(t: Column) -> Column:
+        def push(a: Column, end: Column) -> Column:
+            piece = F.struct(a["at"].alias("start"), t["kind"].alias("kind"), end.alias("end"),
+                             F.substring(t["value"], a["at"] - t["start"] + 1, end - a["at"]).alias("value"))
+            return F.when(end - a["at"] >= LEAST, F.concat(a["out"], F.array(piece))).otherwise(a["out"])
+
+        # the base spans come sorted by their start
+        return F.aggregate(
+            F.filter(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+            F.struct(t["start"].alias("at"), _none().alias("out")),
+            lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), push(a, b["start"]).alias("out")),
+            lambda a: push(a, t["end"]))
+
+    return F.flatten(F.transform(tokens, cut))
+
+
 def listing(spans: Column) -> Column:
     """``kind:start:end`` of the spans, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])

@@ -360,3 +360,9 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_extract import extract
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_simhash_dedup")
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_duplicates
+    return simhash_duplicates(table(spark, sf_dir, "documents"))

@@ -24,7 +24,7 @@ def rows(records, cols):
 
 def test_entry_has_all():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -137,7 +137,7 @@ FROM t LEFT JOIN words ON t.doc_id = words.doc_id LEFT JOIN items ON t.doc_id =
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contamination
     return contamination(table(spark, sf_dir, "documents"),
-                         table(spark, sf_dir, "benchmark")).drop("spans")
+                         table(spark, sf_dir, "benchmark")).drop("spans", "text_md5")
 
 
 # The weights are 1, 2, 3 in turn; the level rises until no further source is full.
@@ -366,3 +366,46 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import simhash_duplicates
     return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(unnest(p), '[^\x20\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, w[i:i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f FROM g WHERE len(g) > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.g, c.f AS a, k, x.f AS l, y.f AS r,
+         CAST((1000000 * CAST(c.f AS HUGEINT) * c.f) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN g y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM cut) WHERE o = 1),
+long AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, unnest([g[1:2], g[2:3]]) AS part FROM c WHERE len(g) = 3) GROUP BY ALL),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN long ON long.lang = best.lang AND long.part = best.g
+  WHERE long.f IS NULL OR 100 * long.f < 50 * a),
+r AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r, n.n AS n, score FROM r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", _OP12_SQL)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import alignments
+    return alignments(table(spark, sf_dir, "documents"))

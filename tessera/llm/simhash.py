@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .near_dedup import components
-from .staging import discard, stage
+from .staging import discard, prepare, stage
 from .words import as_bytes, blocks, inside_text, split_words
 
 #: Bytes of text in one numpy pass.
@@ -208,6 +208,7 @@ def simhash_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Returns one row per row of ``docs``: ``id_col, fingerprint`` (16 hex digits)
     and ``component_id`` (the smallest id reachable over links).
     """
+    prepare(docs)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     prints = stage(docs.mapInArrow(_fingerprint("id", "text", size), "id long, fp long"), "fingerprints")
     nodes = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")

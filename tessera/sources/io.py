@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import csv_split
+
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".feather": "parquet", ".pickle": "parquet",
            ".json": "json", ".orc": "orc"}
 
@@ -46,16 +48,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              columns: Sequence[str] | None = None, dates: Sequence[str] = (),
              date_format: str | None = None, multi_line: bool = True) -> DataFrame:
-    """CSV with a header; text fields may hold line breaks and
-    quotes (then a file is one task; ``multi_line=False`` splits large files
-    whose fields hold no line breaks). With ``schema`` nothing is inferred (one pass, stable types);
-    ``columns`` prunes, ``dates`` parses text dates."""
-    reader = (spark.read.option("header", True).option("multiLine", multi_line)
-              .option("quote", '"').option("escape", '"'))
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
-    if columns:
-        df = df.select(*columns)
+    """CSV with a header; text fields may hold line breaks and quotes, and a
+    file is still read by many tasks (``csv_split``; ``multi_line=False`` saves its
+    first scan where no field holds a line break). With ``schema`` nothing is inferred
+    (stable types); ``columns`` prunes, ``dates`` parses text dates."""
+    if multi_line:
+        df = csv_split.read_csv(spark, path, schema, columns)
+    else:
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+        df = reader.csv(path)
+        if columns:
+            df = df.select(*columns)
     for c in dates:
         if c in df.columns:
             df = df.withColumn(c, F.to_date(F.col(c), date_format) if date_format else F.to_date(c))

@@ -74,29 +74,40 @@ def long_tokens(c: str | Column) -> Column:
     return F.filter(tokens(c), lambda t: F.length(t) >= 2)
 
 
+# Where a line may break inside a word: after the hyphen of a hyphenated word, and on
+# both sides of dashes between words.
+_IN_WORD = (r"(?U)(?:(?<=[^\d\W]{2}-)|(?<=[^\d\W]-[^\d\W]-))(?=[^\d\W]-?[^\d\W])"
+            r"|(?<=[\w!\"'&.,?])(?=-{2,}\w)|(?<=[\w!\"'&.,?]-{2,20})(?=\w)")
+_SPACE = r"\t\n\x0B\f\r "
+
+
 def wrap_pieces(c: str | Column, width: int) -> Column:
-    """Greedy wrap into pieces of at most ``width`` characters on word
-    borders; whitespace becomes single spaces and a word longer than
-    ``width`` is kept whole in its own piece. Returns an array of pieces.
+    """Greedy wrap into pieces of at most ``width`` characters, broken at white space,
+    after hyphens and at dashes between words. White space becomes spaces (as many inside
+    a line, none at a break); what is longer than ``width`` and cannot be broken is kept
+    whole in its own piece. Returns an array of pieces.
 
-    A fold over the word array (``aggregate``) keeps the work per row, in the
-    JVM, with no Python and no shuffle.
+    A fold over the array of unbreakable parts (``aggregate``) keeps the work per row, in
+    the JVM, with no Python and no shuffle.
     """
-    ws = words(c)
+    spaced = F.regexp_extract_all(_c(c), F.lit(f"[{_SPACE}]*[^{_SPACE}]+"), 0)
+    parts = F.flatten(F.transform(spaced, lambda w: F.split(w, _IN_WORD)))
     # accumulator: finished pieces + the piece being filled
     start = F.struct(F.array().cast("array<string>").alias("done"),
                      F.lit(None).cast("string").alias("cur"))
 
-    def step(acc, w):
+    def step(acc, p):
         cur = acc["cur"]
-        fits = cur.isNotNull() & (F.length(cur) + F.lit(1) + F.length(w) <= F.lit(width))
-        return F.when(fits, F.struct(acc["done"].alias("done"),
-                                     F.concat(cur, F.lit(" "), w).alias("cur"))) \
-            .when(cur.isNull(), F.struct(acc["done"].alias("done"), w.alias("cur"))) \
-            .otherwise(F.struct(F.concat(acc["done"], F.array(cur)).alias("done"), w.alias("cur")))
+        word = F.regexp_replace(p, f"^[{_SPACE}]+", "")
+        joined = F.concat(F.coalesce(cur, F.lit("")), F.repeat(F.lit(" "), F.length(p) - F.length(word)), word)
+        # only the text's first piece may begin with spaces
+        fits = (cur.isNotNull() | (F.size(acc["done"]) == 0)) & (F.length(joined) <= F.lit(width))
+        return F.when(fits, F.struct(acc["done"].alias("done"), joined.alias("cur"))) \
+            .when(cur.isNull(), F.struct(acc["done"].alias("done"), word.alias("cur"))) \
+            .otherwise(F.struct(F.concat(acc["done"], F.array(cur)).alias("done"), word.alias("cur")))
 
     def finish(acc):
         return F.when(acc["cur"].isNull(), acc["done"]).otherwise(
             F.concat(acc["done"], F.array(acc["cur"])))
 
-    return F.aggregate(ws, start, step, finish)
+    return F.aggregate(parts, start, step, finish)

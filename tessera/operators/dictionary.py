@@ -4,9 +4,10 @@
 The function (a translation service in the reference) runs once per distinct
 value, never per row: values are numbered in first-seen order, cut into
 fixed-size chunks, and each chunk is one unit of work and of resumption.
-``mapInPandas`` calls the caller's function on Arrow batches inside tasks;
-finished chunks are written ``partitionBy('chunk')`` so a rerun skips them with
-an anti join. The dictionary is applied with an equi join (AQE broadcasts it
+``mapInPandas`` calls the caller's function on Arrow batches inside tasks, one task
+for each chunk; a chunk is committed when its task ends (``build``), not when the
+job does, so a run that is lost keeps every finished chunk, and a rerun skips those
+with an anti join. The dictionary is applied with an equi join (AQE broadcasts it
 only when its measured size is small; a dictionary grows with the data).
 """
 
@@ -19,13 +20,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 from ..sources.io import exists
 from .ordinal import with_position
 
 DICT_SCHEMA = "value string, mapped string, chunk long, ok boolean"
+#: Values of a chunk: what a lost task calls again at most.
+CHUNK_SIZE = 2000
+#: Chunks, so tasks, of one job.
+WINDOW = 2000
+#: Characters (and 32 for each entry) of a dictionary that goes to the tasks.
+SMALL = 1 << 23
+#: The committer that moves a task's file to its place when the task ends.
+_COMMIT_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
 
 
-def chunk_values(df: DataFrame, columns: Sequence[str], chunk_size: int,
+def chunk_values(df: DataFrame, columns: Sequence[str], chunk_size: int = CHUNK_SIZE,
                  order: str | None = None) -> DataFrame:
     """B1: distinct non-null values of ``columns`` numbered in first-seen order
     (by ``order``; by value when None) and cut into chunks of ``chunk_size``:
@@ -130,6 +140,42 @@ def done_chunks(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).select("chunk").distinct()
 
 
+def build(chunks: DataFrame, fn: Callable[[str], str], path: str, start: int = 0, step: int | None = None,
+          window: int = WINDOW) -> DataFrame:
+    """Map the values of the chunks ``start`` to ``start + step - 1`` (to the
+    last) that ``path`` does not have yet, and read all that it has:
+    ``(value, mapped, ok, chunk)``.
+
+    Each chunk is one task, and its file is in place when the task ends. If the run
+    dies (an executor, the driver, a function that takes its worker down), finished
+    chunks stay; calling ``build`` again calls the function for the others only.
+    Jobs have ``window`` chunks, so that their number of tasks is bounded. A task
+    that is run twice (its executor was lost while it reported) can leave its chunk
+    twice: each value of a chunk is read once.
+    """
+    spark = chunks.sparkSession
+    chunks = materialize(chunk_window(chunks, start, step) if step is not None else chunks.where(F.col("chunk") >= start))
+    todo = pending(chunks, done_chunks(spark, path))
+    bounds = todo.agg(F.min("chunk"), F.max("chunk")).first()
+    if bounds[0] is not None:
+        for first in range(bounds[0], bounds[1] + 1, window):
+            part = chunk_window(todo, first, window)
+            n = min(window, bounds[1] + 1 - first)
+            # the task of a chunk is its place in the window; adaptive execution leaves such partitions alone
+            tasks = part.select("value", "chunk").repartitionById(n, (F.col("chunk") - first).cast("int"))
+            (tasks.mapInPandas(_safe_mapper(fn), DICT_SCHEMA).write.mode("append")
+             .option(*_COMMIT_BY_TASK).partitionBy("chunk").parquet(path))
+    return stored_chunks(spark, path)
+
+
+def stored_chunks(spark, path: str) -> DataFrame:
+    """The finished chunks at ``path``: one row per value of each chunk."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "value string, mapped string, ok boolean, chunk long")
+    kept = spark.read.schema("value string, mapped string, ok boolean, chunk long").parquet(path)
+    return kept.dropDuplicates(["chunk", "value"])
+
+
 def stored(results: DataFrame, path: str) -> DataFrame:
     """Write the results as chunk folders and read them back: the function has run
     once for every value, whatever reads the dictionary later."""
@@ -169,21 +215,34 @@ def merge(parts: Sequence[DataFrame], upto_chunk: int | None = None) -> DataFram
 
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
-                     suffix: str = "_en", strict: bool = True) -> DataFrame:
+                     suffix: str = "_en", strict: bool = True, row_key: str | None = None) -> DataFrame:
     """Add ``<col><suffix>`` looked up in the (stored) dictionary; null
     maps to null. ``strict`` raises when a non-null value is no key of the
-    dictionary; a value that is mapped to null is one."""
+    dictionary; a value that is mapped to null is one.
+
+    A dictionary of ``SMALL`` characters or fewer (counted) goes to the tasks, and the
+    rows stay where they are. A larger one is met in one shuffled join by the cells of
+    all columns, which find their row again by ``row_key`` (unique in ``df``; without
+    it, one join a column); the join can split a value that a third of the cells have.
+    """
     d = dictionary.select("value", "mapped")
     if strict:
         used = F.explode(F.array_distinct(F.array(*[F.col(c).cast("string") for c in columns])))
         n = df.select(used.alias("value")).where("value IS NOT NULL").join(d, "value", "left_anti").count()
         if n:
             raise KeyError(f"{n} values are missing from the dictionary")
-    out = df
-    for c in columns:
-        lookup = d.withColumnsRenamed({"value": c, "mapped": f"{c}{suffix}"})
-        out = out.join(lookup, c, "left")
-    return out
+    size = d.agg(F.sum(F.coalesce(F.length("value"), F.lit(0)) + F.coalesce(F.length("mapped"), F.lit(0)) + 32)).first()[0] or 0
+    if size <= SMALL or row_key is None:
+        out = df
+        d = F.broadcast(d) if size <= SMALL else d
+        for c in columns:
+            lookup = d.withColumnsRenamed({"value": c, "mapped": f"{c}{suffix}"})
+            out = out.join(lookup, c, "left")
+        return out
+    cells = df.select(row_key, F.posexplode(F.array(*[F.col(c).cast("string") for c in columns])).alias("__at", "value"))
+    found = cells.where("value IS NOT NULL").join(d, "value").groupBy(row_key).agg(*[
+        F.max(F.when(F.col("__at") == k, F.col("mapped"))).alias(f"{c}{suffix}") for k, c in enumerate(columns)])
+    return df.join(found, row_key, "left")
 
 
 def untranslated(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

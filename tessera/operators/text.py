@@ -23,9 +23,11 @@ import functools
 import glob
 import os
 import zipfile
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -245,23 +247,49 @@ def text_stats(df: DataFrame, row_key: str, fields: Sequence[str], suffix: str =
 def feature_union(df: DataFrame, row_key: str, fields: Mapping[str, dict]) -> DataFrame:
     """One long table ``(row_key, term, weight)`` over several text
     fields; each term is prefixed ``<field>__`` so names stay apart. Each field
-    spec holds ``kind`` ('tfidf' or 'count') and its options."""
-    parts = []
-    for field, spec in fields.items():
-        spec = dict(spec)
-        kind = spec.pop("kind")
-        terms = analyzed_terms(F.col(field), ngram_max=spec.pop("ngram_max", 1),
-                               min_token_len=spec.pop("min_token_len", 1),
-                               language=spec.pop("language", None))
-        if kind == "tfidf":
-            m = tfidf(df, row_key, terms, **spec)
+    spec holds ``kind`` ('tfidf' or 'count') and its options.
+
+    All fields share one partitioning by row, one count of (row, field, term), one of the
+    documents per (field, term) and one join with the kept vocabulary; a field's options
+    choose among its own terms and weights.
+    """
+    names = list(fields)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    analyzers = {f: analyzed_terms(F.col(f), ngram_max=spec.get("ngram_max", 1), min_token_len=spec.get("min_token_len", 1),
+                                   language=spec.get("language")) for f, spec in fields.items()}
+    # tokens are a column before n-grams are built (see ``Analyzer``)
+    staged = df.repartition(n, row_key).select(row_key, *[analyzers[f].tokens.alias(f"__{k}") for k, f in enumerate(names)])
+
+    def tagged(k: int):
+        return lambda t: F.struct(F.lit(k).alias("field"), t.alias("term"))
+
+    terms = F.concat(*[F.transform(ngrams(F.col(f"__{k}"), analyzers[f].ngram_max), tagged(k)) for k, f in enumerate(names)])
+    tf = (staged.select(row_key, terms.alias("__terms")).select(row_key, F.explode_outer("__terms").alias("t"))
+          .where(F.col("t").isNotNull()).groupBy(row_key, F.col("t.field").alias("field"), F.col("t.term").alias("term"))
+          .agg(F.count(F.lit(1)).alias("tf")))
+    vocab = None
+    for k, (f, spec) in enumerate(fields.items()):
+        rows, fit = spec.get("fit_rows"), tf.where(F.col("field") == k)
+        if rows is not None:
+            fit = fit.join(df.where(rows).select(row_key), row_key, "left_semi")
+        kept = top_vocabulary(min_df_filter(document_frequency(fit), spec.get("min_df")), spec.get("max_features"))
+        n_docs = (df if rows is None else df.where(rows)).count()
+        if spec["kind"] == "count":
+            idf = F.lit(1.0)
+        elif spec.get("smooth_idf"):
+            idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
         else:
-            m = count_matrix(df, row_key, terms, **spec)
-        parts.append(m.select(row_key, F.concat(F.lit(f"{field}__"), "term").alias("term"), "weight"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            idf = F.log(F.lit(float(n_docs)) / F.col("df")) + F.lit(1.0)
+        part = kept.select(F.lit(k).alias("field"), "term", idf.alias("idf"))
+        vocab = part if vocab is None else vocab.unionByName(part)
+    sublinear = [k for k, s_ in enumerate(fields.values()) if s_["kind"] == "tfidf" and s_.get("sublinear_tf", True)]
+    normed = [k for k, s_ in enumerate(fields.values()) if s_["kind"] == "tfidf" and s_.get("norm", True)]
+    count = F.when(F.col("field").isin(sublinear), F.lit(1.0) + F.log(F.col("tf"))).otherwise(F.col("tf").cast("double"))
+    weighted = tf.join(vocab, ["field", "term"]).select(row_key, "field", "term", (count * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(row_key, "field")))
+    prefix = F.array(*[F.lit(f"{f}__") for f in names])
+    return weighted.select(row_key, F.concat(prefix[F.col("field")], "term").alias("term"),
+                           F.when(F.col("field").isin(normed), F.col("w") / norm).otherwise(F.col("w")).alias("weight"))
 
 
 def text_job(df: DataFrame, row_key: str = "item_id", language: str = "russian",
@@ -292,43 +320,126 @@ def text_job(df: DataFrame, row_key: str = "item_id", language: str = "russian",
     return dense, sparse
 
 
-def truncated_svd(matrix: DataFrame, row_key: str, k: int, rows_of: DataFrame | None = None):
-    """Rank-``k`` truncated SVD of a long-form matrix (no centring).
+#: Numbers of a dense block of matrix entries times components in a task.
+_DENSE = 1 << 21
+#: Columns whose sums travel as one row.
+_COLUMNS = 512
+
+
+def _products(place: np.ndarray, first: np.ndarray, weight: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Rows of a sparse block (``first``: each row's first entry) times ``v``."""
+    out = np.zeros((len(first) - 1, v.shape[1]))
+    step = max(1, _DENSE // v.shape[1])
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    for a in range(0, len(place), step):
+        r = row[a:a + step]
+        begin = np.flatnonzero(np.diff(r, prepend=-1))
+        out[r[begin]] += np.add.reduceat(v[place[a:a + step]] * weight[a:a + step, None], begin, axis=0)
+    return out
+
+
+def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lists = batch.column(1)
+    flat = lists.flatten()
+    first = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
+    return flat.field("place").to_numpy().astype(np.int64), first, flat.field("weight").to_numpy()
+
+
+def _gram_times(rows: DataFrame, v: np.ndarray) -> np.ndarray:
+    """``A' A v`` in one pass: each task multiplies its rows by ``v`` and adds their
+    transpose times the result; column blocks of the tasks' sums are added up in tasks."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(v)
+    width = v.shape[1]
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        total = np.zeros_like(v)
+        for batch in batches:
+            place, first, weight = _sparse(batch)
+            y = _products(place, first, weight, v)
+            row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            order = np.argsort(place, kind="stable")
+            columns, start = np.unique(place[order], return_index=True)
+            total[columns] += _products(row[order], np.append(start, len(order)), weight[order], y)
+        for a in range(0, len(v), _COLUMNS):
+            part = total[a:a + _COLUMNS]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"block": pa.array([a // _COLUMNS], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part = np.frombuffer(raw)
+                sums[b] = sums[b] + part if b in sums else part
+        for b, part in sums.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([b], pa.int32()), "sums": pa.array([part.tobytes()], pa.binary())})
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = rows.mapInArrow(multiply, "block int, sums binary").repartition(n, "block").mapInArrow(add, "block int, sums binary")
+    out = np.zeros_like(v)
+    for r in parts.toLocalIterator():  # the product itself: terms * components numbers
+        part = np.frombuffer(r["sums"]).reshape(-1, width)
+        out[r["block"] * _COLUMNS:r["block"] * _COLUMNS + len(part)] = part
+    shared.destroy()
+    return out
+
+
+def truncated_svd(matrix: DataFrame, row_key: str, k: int, rows_of: DataFrame | None = None, extra: int = 10,
+                  tolerance: float = 1e-9, max_passes: int = 60, seed: int = 1):
+    """Rank-``k`` truncated SVD of a long-form matrix (no centring), by subspace
+    iteration from a random start.
+
+    Rows become sparse lists of entries (one row's terms are grouped: bounded by the
+    row's text). A pass gives ``A' A V`` for the ``k + extra`` vectors held; they are made
+    orthogonal and multiplied again until the ``k`` singular values settle within
+    ``tolerance`` (or ``max_passes``). The driver holds terms times components numbers
+    (18 000 terms and 400 components: 60 MB), never a row; scores are a last pass.
+    Each component's sign is such that its largest term weight is positive.
 
-    Terms get column indexes from distributed positions; rows become sparse
-    vectors (one row's terms are grouped: bounded by the row's text), and
-    ``RowMatrix.computeSVD`` does the distributed Gramian / ARPACK work.
     Returns ``(scores DataFrame(row_key, svd_1..k), singular values)``; with
     ``rows_of`` one row for every row key of that table (zeros without terms).
     """
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-    from ..session import materialize
+    from ..session import materialize, ship_package
     from .ordinal import with_position
 
-    terms = with_position(matrix.select("term").distinct(), ["term"], "col")
+    ship_package(matrix.sparkSession)
+    terms = materialize(with_position(matrix.select("term").distinct(), ["term"], "place"))
     n_cols = terms.count()
-    indexed = matrix.join(terms, "term")
-    rows = indexed.groupBy(row_key).agg(
-        F.sort_array(F.collect_list(F.struct("col", "weight"))).alias("entries"))
-
-    def to_row(r):
-        idx = [e["col"] for e in r["entries"]]
-        val = [float(e["weight"]) for e in r["entries"]]
-        return IndexedRow(int(r[row_key]), Vectors.sparse(n_cols, idx, val))
-
-    vectors = rows.rdd.map(to_row).persist()  # every solver pass reads them
-    mat = IndexedRowMatrix(vectors)
-    svd = mat.computeSVD(k, computeU=True)
-    u = svd.U.rows.map(lambda ir: (ir.index, *[float(x) for x in ir.vector.toArray()]))
-    spark = matrix.sparkSession
-    scores = spark.createDataFrame(u, [row_key, *[f"svd_{i + 1}" for i in range(k)]])
-    s = [float(x) for x in svd.s.toArray()]
+    rows = materialize(matrix.join(terms, "term").groupBy(F.col(row_key)).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("place").cast("int").alias("place"),
+                                             F.col("weight").cast("double").alias("weight")))).alias("entries")))
     names = [f"svd_{i + 1}" for i in range(k)]
-    scaled = materialize(scores.select(row_key, *[(F.col(n) * F.lit(v)).alias(n)
-                                                  for n, v in zip(names, s, strict=True)]))
-    vectors.unpersist()
+    found = min(k, n_cols)
+    basis, values, right = np.zeros((n_cols, 0)), np.zeros(0), np.zeros((n_cols, 0))
+    if n_cols:
+        start = np.random.default_rng(seed).normal(size=(n_cols, min(k + extra, n_cols)))
+        basis = np.linalg.qr(start)[0]
+        for _ in range(max_passes):
+            product = _gram_times(rows, basis)
+            square, turn = np.linalg.eigh(basis.T @ product)  # the Gram matrix in this subspace
+            order = np.argsort(-square)[:found]
+            new = np.sqrt(np.maximum(square[order], 0.0))
+            right = basis @ turn[:, order]
+            settled = len(values) == len(new) and np.all(np.abs(new - values) <= tolerance * max(new[0], 1e-300))
+            values = new
+            if settled or basis.shape[1] == n_cols:
+                break
+            basis = np.linalg.qr(product)[0]
+        top = right[np.abs(right).argmax(0), np.arange(found)]
+        right = right * np.where(top < 0, -1.0, 1.0)
+    # fewer terms than components: the rest are zero
+    right = np.concatenate((right, np.zeros((n_cols, k - found))), 1)
+    shared = matrix.sparkSession.sparkContext.broadcast(right)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = _products(*_sparse(batch), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(y[:, i]) for i in range(y.shape[1]))], [row_key, *names])
+
+    kind = rows.schema[row_key].dataType.simpleString()
+    scores = rows.mapInArrow(project, f"`{row_key}` {kind}, " + ", ".join(f"{n} double" for n in names))
     if rows_of is not None:
-        scaled = rows_of.select(row_key).join(scaled, row_key, "left").fillna(0.0, names)
-    return scaled, s
+        scores = rows_of.select(row_key).join(scores, row_key, "left").fillna(0.0, names)
+    return scores, [float(x) for x in values] + [0.0] * (k - found)

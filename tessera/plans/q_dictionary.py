@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.stand_in import mark_translation, rerun_translation
 from ..operators import dictionary as D
 from ..session import scratch_path
+from .q_text import wrap_ctes
 from .registry import ads, query, sql, table
 
 CHUNK = 20  # values per chunk: the test tables have several; production sizes are in the thousands
@@ -51,17 +52,17 @@ def q_build(spark, sf_dir):
 
 
 @query("dictionary_long_text", "B4 T7 T8",
-       oracle="""SELECT md5(text) AS value_md5, ordinal, ordinal // 130 AS chunk
-FROM (SELECT text, row_number() OVER (ORDER BY seen, text) - 1 AS ordinal FROM (
-  SELECT text, min(doc_id) AS seen FROM documents WHERE text IS NOT NULL GROUP BY text))""")
+       oracle=sql(f"""SELECT md5(text) AS value_md5, ordinal, ordinal // 130 AS chunk, CAST(len(pieces) AS BIGINT) AS n_pieces,
+  md5(array_to_string(list_transform(pieces, lambda p: ' ' || {FN_SQL.format(v='p')}), '')) AS mapped_md5
+FROM v JOIN wrapped USING (ordinal)""",
+                  ("v", """SELECT text, row_number() OVER (ORDER BY seen, text) - 1 AS ordinal FROM (
+  SELECT text, min(doc_id) AS seen FROM documents WHERE text IS NOT NULL GROUP BY text)"""), *wrap_ctes("v", "ordinal")))
 def q_long_text(spark, sf_dir):
-    """Whole texts, wrapped into 1000-character pieces, mapped per piece and
-    joined back; the oracle has the texts and their places (the wrapping itself
-    is tested against Python's)."""
+    """Whole texts, wrapped into 1000-character pieces, mapped per piece and joined back."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     chunks = D.chunk_values(d, ["text"], 130, order="doc_id")
-    return D.apply_to_long_text(chunks, stand_in, 1000).where("length(mapped) >= n_pieces").select(
-        F.md5("value").alias("value_md5"), "ordinal", "chunk")
+    return D.apply_to_long_text(chunks, stand_in, 1000).select(
+        F.md5("value").alias("value_md5"), "ordinal", "chunk", "n_pieces", F.md5("mapped").alias("mapped_md5"))
 
 
 def _write_some(spark, sf_dir, chunk_ids):
@@ -78,6 +79,18 @@ def q_resume(spark, sf_dir):
     return D.pending(chunks, D.done_chunks(spark, path)).select("value", "chunk")
 
 
+@query("dictionary_rebuild", "B3 B6",
+       oracle=sql(f"""SELECT value, CASE WHEN chunk < 2 THEN {FN_SQL.format(v='value')} ELSE 'v2:' || value END AS mapped,
+  chunk, CASE WHEN chunk < 2 THEN NOT contains(value, 'z') ELSE TRUE END AS ok FROM chunks""", CHUNKS_CTE))
+def q_rebuild(spark, sf_dir):
+    """A run over chunks 0 and 1, then one over all with another function: what the
+    first run finished is not called again."""
+    path = scratch_path(spark, "dictionary")
+    chunks = _chunks(spark, sf_dir)
+    D.build(chunks, stand_in, path, 0, 2)
+    return D.build(chunks, rerun, path).select("value", "mapped", "chunk", "ok")
+
+
 @query("missing_chunks", "J7",
        oracle=sql("""SELECT range AS chunk FROM range(0, (SELECT max(chunk) + 1 FROM chunks))
 WHERE range NOT IN (0, 1, 3)""", CHUNKS_CTE))
@@ -109,7 +122,7 @@ def q_merge_gap(spark, sf_dir):
 def _applied(spark, sf_dir):
     a = ads(spark, sf_dir).select("item_id", *COLUMNS)
     dictionary = D.stored(D.apply_to_chunks(_chunks(spark, sf_dir), stand_in), scratch_path(spark, "dictionary"))
-    return D.apply_dictionary(a, dictionary, COLUMNS)
+    return D.apply_dictionary(a, dictionary, COLUMNS, row_key="item_id")
 
 
 @query("dictionary_apply", "B7 J6",
@@ -119,6 +132,23 @@ def q_apply(spark, sf_dir):
     return _applied(spark, sf_dir).select("item_id", *[x for c in COLUMNS for x in (c, f"{c}_en")])
 
 
+@query("dictionary_apply_all", "B7 J6 B4",
+       oracle=sql("SELECT item_id, " + ", ".join(f"{FN_SQL.format(v=c)} AS {c}_en" for c in COLUMNS) + f""",
+  md5(array_to_string(list_transform(pieces, lambda p: ' ' || {FN_SQL.format(v='p')}), '')) AS description_en_md5
+FROM ads LEFT JOIN wrapped ON wrapped.text = ads.description""",
+                  ("d", "SELECT DISTINCT text FROM documents"), *wrap_ctes("d", "text")))
+def q_apply_all(spark, sf_dir):
+    """The eight short columns and the long one, in one lookup: their dictionaries are
+    one table (long texts by their digest, so that no text travels with its cells)."""
+    a = ads(spark, sf_dir, text=True).select("item_id", *COLUMNS, F.md5("description").alias("description"))
+    texts = D.chunk_values(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], 130, order="doc_id")
+    long = D.apply_to_long_text(texts, stand_in, 1000).select(F.md5("value").alias("value"), "mapped", "chunk", "ok")
+    long = D.stored(long, scratch_path(spark, "dictionary")).select("value", "mapped")
+    short = D.stored(D.apply_to_chunks(_chunks(spark, sf_dir), stand_in), scratch_path(spark, "dictionary"))
+    out = D.apply_dictionary(a, short.select("value", "mapped").union(long), [*COLUMNS, "description"], row_key="item_id")
+    return out.select("item_id", *[f"{c}_en" for c in COLUMNS], F.md5("description_en").alias("description_en_md5"))
+
+
 @query("untranslated_values", "A31",
        oracle=sql(" UNION ALL ".join(
            f"SELECT DISTINCT '{c}' AS column_name, {c} AS value FROM ads WHERE {c} = {FN_SQL.format(v=c)}"

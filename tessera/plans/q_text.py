@@ -264,9 +264,24 @@ def q_text_dense(spark, sf_dir):
     return dense.select(*[r6(c).alias(c) if c.endswith("_words_vs_unique") else c for c in dense.columns])
 
 
-@query("text_wrap", "T8 T7")
+def wrap_ctes(source: str, key: str, width: int = 1000) -> list[tuple[str, str]]:
+    """CTEs, the last one ``wrapped(<key>, pieces)``: the greedy wrap as a fold over parts
+    with their lengths (breaks after hyphens as far as the tables have them)."""
+    text = r"regexp_replace(text, '[^\x{0000}-\x{FFFF}]', '', 'g')"
+    broken = rf"regexp_replace({text}, '(\p{{L}}\p{{L}}-)(\p{{L}}-?\p{{L}})', '\1' || chr(1) || chr(32) || '\2', 'g')"
+    return [("parts", rf"""SELECT {key}, list_transform(list_filter(regexp_split_to_array({broken}, '\s+'), lambda w: w <> ''),
+    lambda w: {{'t': replace(w, chr(1), ''), 'n': CAST(length(replace(w, chr(1), '')) AS BIGINT), 'glued': ends_with(w, chr(1))}}) AS l
+  FROM {source}"""), ("wrapped", f"""SELECT {key}, CASE WHEN len(l) = 0 THEN [] ELSE string_split(list_reduce(l, lambda a, w:
+    CASE WHEN a.n + CASE WHEN a.glued THEN 0 ELSE 1 END + w.n <= {width}
+    THEN {{'t': a.t || CASE WHEN a.glued THEN '' ELSE ' ' END || w.t, 'n': a.n + CASE WHEN a.glued THEN 0 ELSE 1 END + w.n, 'glued': w.glued}}
+    ELSE {{'t': a.t || chr(1) || w.t, 'n': w.n, 'glued': w.glued}} END).t, chr(1)) END AS pieces FROM parts""")]
+
+
+@query("text_wrap", "T8 T7",
+       oracle=_with(*(f"{n} AS ({q})" for n, q in wrap_ctes("documents", "doc_id"))) + """
+SELECT doc_id, CAST(unnest(range(len(pieces))) AS INT) AS piece_no, unnest(pieces) AS piece FROM wrapped""")
 def q_wrap(spark, sf_dir):
-    """Rows only: pieces of at most 1000 characters (tested against Python)."""
+    """Pieces of at most 1000 characters."""
     d = table(spark, sf_dir, "documents")
     pieces = T.wrap_pieces(T.drop_astral("text"), 1000)
     return d.select("doc_id", F.posexplode(pieces).alias("piece_no", "piece"))
@@ -275,9 +290,35 @@ def q_wrap(spark, sf_dir):
 @query("text_svd", "T18", oracle="SELECT doc_id FROM documents")
 def q_svd(spark, sf_dir):
     """3-component truncated SVD of the TF-IDF matrix, one row per document; its
-    values are tested against numpy (signs are arbitrary)."""
+    values are tested against numpy."""
     d = _docs(spark, sf_dir)
     terms = TX.analyzed_terms(F.col("text"), ngram_max=1, language=F.col("lang"))
     m = TX.tfidf(d, "doc_id", terms, sublinear_tf=True, smooth_idf=False, max_features=1000)
     scores, _s = TX.truncated_svd(m, "doc_id", 3, rows_of=d)
     return scores.select("doc_id")
+
+
+# Two columns have closed forms: the eigenvalues of [[a, b], [b, c]] and, all counts being
+# positive, a first vector with two positive parts.
+_TWO_SQL = _with(_grams_sql("documents", "doc_id", "text", stop=False, ngram_max=1, min_len=2)) + f""",
+vocab AS (SELECT term, row_number() OVER (ORDER BY term) AS k FROM (
+  SELECT term FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 2)),
+x AS (SELECT d.doc_id, CAST(coalesce(sum(tf.tf) FILTER (WHERE k = 1), 0) AS DOUBLE) AS x1,
+  CAST(coalesce(sum(tf.tf) FILTER (WHERE k = 2), 0) AS DOUBLE) AS x2
+  FROM documents d LEFT JOIN tf ON tf.doc_id = d.doc_id LEFT JOIN vocab USING (term) GROUP BY d.doc_id),
+g AS (SELECT sum(x1 * x1) AS a, sum(x1 * x2) AS b, sum(x2 * x2) AS c FROM x),
+e AS (SELECT *, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l1, (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b) AS l2 FROM g),
+v AS (SELECT *, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS p, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS q FROM e)
+SELECT doc_id, {r6sql('x1 * p + x2 * q')} AS svd_1,
+  {r6sql('CASE WHEN q >= p THEN x1 * q - x2 * p ELSE x2 * p - x1 * q END')} AS svd_2,
+  {r6sql('sqrt(l1)')} AS s1, {r6sql('sqrt(l2)')} AS s2 FROM x, v"""
+
+
+@query("text_svd_values", "T18", oracle=_TWO_SQL)
+def q_svd_values(spark, sf_dir):
+    """Scores and singular values of the counts of the two most frequent terms."""
+    d = _docs(spark, sf_dir)
+    m = TX.count_matrix(d, "doc_id", TX.analyzed_terms(F.col("text"), min_token_len=2), max_features=2)
+    scores, s = TX.truncated_svd(m, "doc_id", 2, rows_of=d)
+    return scores.select("doc_id", r6("svd_1").alias("svd_1"), r6("svd_2").alias("svd_2"),
+                         r6(F.lit(s[0])).alias("s1"), r6(F.lit(s[1])).alias("s2"))

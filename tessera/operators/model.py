@@ -12,47 +12,73 @@ back to the rows.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, VectorAssembler
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.columns import clip
 from .splits import in_fraction
 
-# Fixed values: (num_leaves, max_depth) pairs of the reference's sweep, largest
-# first. Spark trees are limited by depth (30 at most), not by leaves; a sweep
-# over them runs each depth that Spark can build once (``sweep_depths``).
+# Fixed values: (num_leaves, max_depth) pairs of the reference's sweep, largest first.
+# Spark's own trees are limited by depth (30 at most); ``leafwise`` grows trees with a
+# limit of leaves.
 SWEEP = [(128, 64), (63, 31), (31, 15), (15, 7), (9, 4), (7, 3)]
 MAX_DEPTH = 30  # Spark's limit
 REFERENCE_RMSE = 0.2300  # fixed value: target score of the seed search
 
 
-def sweep_depths() -> list[int]:
-    """Distinct depths of the sweep, as far as Spark can build them, deepest first."""
-    return sorted({min(depth, MAX_DEPTH) for _, depth in SWEEP}, reverse=True)
-
-
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Root mean squared error (one row)."""
     d = F.col(label) - F.col(prediction)
     return df.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
 
 
-def text_vectors(df: DataFrame, terms: Column, max_features: int, output: str,
-                 fit_rows: Column | None = None) -> DataFrame:
-    """Sparse TF-IDF vectors of a term array, L2-normalised, over the
-    ``max_features`` most frequent terms of the fitted rows (all rows, or those of
-    ``fit_rows``); every row gets a vector, an empty one without known terms."""
-    raw, counted, weighted = "__terms", "__counts", "__weights"
-    rows = df.withColumn(raw, F.coalesce(terms, F.array().cast("array<string>")))
-    fit = rows if fit_rows is None else rows.where(fit_rows)
-    counts = CountVectorizer(inputCol=raw, outputCol=counted, vocabSize=max_features).fit(fit)
-    idf = IDF(inputCol=counted, outputCol=weighted).fit(counts.transform(fit))
-    scaled = Normalizer(inputCol=weighted, outputCol=output, p=2.0)
-    return scaled.transform(idf.transform(counts.transform(rows))).drop(raw, counted, weighted)
+def term_vectors(weights: DataFrame, row_key: str, rows: DataFrame, output: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` with the sparse vector ``output`` of each row's terms in the long table
+    ``weights`` (``row_key, term, weight``: a TF-IDF, counts, or a union of them), and the
+    terms in the order of the vector's places. A row without terms gets an empty vector.
+
+    The names come to the driver, as a model of these columns does; their number is the
+    vocabulary's, which ``max_features`` bounds. A row's terms meet in one place, bounded
+    by its text.
+    """
+    from ..session import materialize
+    from .ordinal import with_position
+
+    weights = materialize(weights.select(row_key, "term", "weight"))
+    places = materialize(with_position(weights.select("term").distinct(), ["term"], "place"))
+    terms = [r["term"] for r in places.orderBy("place").collect()]
+    entries = weights.join(places, "term").groupBy(row_key).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), "weight"))).alias("entries"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten()
+            n = batch.num_rows
+            vector = pa.StructArray.from_arrays([
+                pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, len(terms), np.int32)),
+                pa.ListArray.from_arrays(_offsets(lists), flat.field("place")),
+                pa.ListArray.from_arrays(_offsets(lists), flat.field("weight"))], ["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), vector], [row_key, output])
+
+    def _offsets(lists: pa.ListArray) -> pa.Array:
+        return pa.array(np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))), pa.int32())
+
+    schema = StructType([StructField(row_key, rows.schema[row_key].dataType), StructField(output, VectorUDT())])
+    none = F.array().cast("array<struct<place:int,weight:double>>")
+    filled = rows.select(row_key).join(entries, row_key, "left").select(row_key, F.coalesce("entries", none).alias("entries"))
+    # the places' names travel with the column (the assembler and the models keep them)
+    named = {"ml_attr": {"num_attrs": len(terms), "attrs": {"numeric": [{"idx": k, "name": t} for k, t in enumerate(terms)]}}}
+    vectors = filled.mapInArrow(work, schema).withMetadata(output, named)
+    return rows.join(vectors, row_key), terms
 
 
 def design_matrix(df: DataFrame, dense: Sequence[str], fill: float = -999.0, output: str = "features",
@@ -120,6 +146,29 @@ def refit(df: DataFrame, est: GBTRegressor, rounds: int) -> GBTRegressionModel:
     return est.copy({est.maxIter: rounds}).fit(df)
 
 
+def shuffled(df: DataFrame, column: str, row_key: str, seed: int = 1988) -> DataFrame:
+    """``df`` with the values of ``column`` dealt out anew: the row at a place in key order
+    gets the value of the row at that place in hash order (ends in a bijection, whatever
+    the number of tasks)."""
+    from .ordinal import with_position
+
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(row_key).cast("string")))
+    given = with_position(df.select(row_key, column, digest.alias("__hash")), ["__hash", row_key], "__place")
+    places = with_position(df.select(row_key), [row_key], "__place")
+    dealt = places.join(given.select("__place", column), "__place").drop("__place")
+    return df.drop(column).join(dealt, row_key).select(*df.columns)
+
+
+def permutation_importances(df: DataFrame, columns: Sequence[str], row_key: str, label: str,
+                            predicted: Callable[[DataFrame], DataFrame], seed: int = 1988) -> DataFrame:
+    """By how much the RMSE rises when a column's values are dealt out anew:
+    ``feature, rmse, rise``, for each column alone. ``predicted`` adds ``prediction``."""
+    base = rmse(predicted(df), label, "prediction").first()[0]
+    rows = [(c, rmse(predicted(shuffled(df, c, row_key, seed)), label, "prediction").first()[0]) for c in columns]
+    return df.sparkSession.createDataFrame([(c, float(e), float(e - base)) for c, e in rows],
+                                           "feature string, rmse double, rise double")
+
+
 def top_importances(model: GBTRegressionModel, names: Sequence[str], spark, k: int = 50) -> DataFrame:
     """The ``k`` most important features (name breaks ties)."""
     imp = model.featureImportances.toArray()

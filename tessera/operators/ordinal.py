@@ -54,6 +54,22 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos
             .select(*df.columns, (F.col(_OFF) + local).alias(name)))
 
 
+def running_total(df: DataFrame, order: Sequence[str | Column], amount: str, name: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Add the sum of ``amount`` over all rows before each row in the order ``order``
+    (a total order). Sums inside range partitions, plus the sums of those before."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _cols(order)
+    staged = materialize(df.repartitionByRange(n, *ordered).withColumn(_PID, F.spark_partition_id()))
+    here = Window.partitionBy(_PID).orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    sums = staged.groupBy(_PID).agg(F.sum(amount).alias("__n"))
+    offsets = sums.select(_PID, (F.sum("__n").over(Window.orderBy(_PID)) - F.col("__n")).alias(_OFF))
+    # one row per range partition: bounded by the partition count
+    return (staged.withColumn("__in", F.coalesce(F.sum(amount).over(here), F.lit(0))).join(F.broadcast(offsets), _PID)
+            .select(*df.columns, (F.col(_OFF) + F.col("__in")).alias(name)))
+
+
 def running_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                   name: str = "cumcount", num_partitions: int | None = None) -> DataFrame:
     """0-based index of each row inside its key group, in ``order``.

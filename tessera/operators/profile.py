@@ -9,12 +9,14 @@ merge of k rows per partition).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordinal import running_index, with_position
+from .ordinal import running_total, with_position
 
 
 def _c(c: str | Column) -> Column:
@@ -52,40 +54,38 @@ def percent_share(df: DataFrame, column: str, name: str = "pct") -> DataFrame:
 
 # -- summaries --------------------------------------------------------------
 
-def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                      probs: Sequence[float], tiebreak: Sequence[str] = ()) -> DataFrame:
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``)
-    per key group, one column ``q_<p>`` per probability.
+    per key group, one column ``q_<p>`` per probability; a null key has none.
 
-    Each non-null value gets its rank inside its group from distributed
-    positions; only the ranks that quantiles need are kept, so no group is
-    ever gathered in one task.
+    Rows are counted by (key, value) first, combined map-side, so a value that a third
+    of the rows have is one row; running totals over range partitions give each value
+    the ranks it fills, and only the values at the ranks that quantiles need are kept.
     """
     keys = list(keys)
     base = df.where(F.col(value).isNotNull())
     if not keys:
         base = base.withColumn("__all", F.lit(0))
-        keys_eff = ["__all"]
-    else:
-        keys_eff = keys
-    ranked = running_index(base.select(*keys_eff, value, *tiebreak), keys_eff,
-                           [value, *tiebreak], "__rank")
-    sizes = base.groupBy(*keys_eff).agg(F.count(F.lit(1)).alias("__n"))
-    r = ranked.join(sizes, keys_eff)
+    by = keys or ["__all"]
+    counts = base.groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
+    placed = running_total(counts, [*by, value], "__c", "__before")
+    sizes = placed.groupBy(*by).agg(F.min("__before").alias("__start"), F.sum("__c").alias("__n"))
+    r = placed.join(sizes, by).withColumn("__lo", F.col("__before") - F.col("__start"))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("__lo") <= rank) & (rank < F.col("__lo") + F.col("__c"))
+
+    places = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
     wanted = F.lit(False)
-    for p in probs:
-        h = (F.col("__n") - 1) * F.lit(float(p))
-        wanted = wanted | (F.col("__rank") == F.floor(h)) | (F.col("__rank") == F.ceil(h))
-    picked = r.where(wanted)
+    for h in places:
+        wanted = wanted | holds(F.floor(h)) | holds(F.ceil(h))
     aggs = []
-    for p in probs:
-        h = (F.col("__n") - 1) * F.lit(float(p))
-        lo = F.max(F.when(F.col("__rank") == F.floor(h), F.col(value)))
-        hi = F.max(F.when(F.col("__rank") == F.ceil(h), F.col(value)))
-        frac = F.max(h - F.floor(h))
-        aggs.append((lo + (hi - lo) * frac).alias(quantile_name(p)))
-    out = picked.groupBy(*keys_eff).agg(*aggs)
-    return out.drop("__all") if not keys else out
+    for p, h in zip(probs, places, strict=True):
+        lo = F.max(F.when(holds(F.floor(h)), F.col(value)))
+        hi = F.max(F.when(holds(F.ceil(h)), F.col(value)))
+        aggs.append((lo + (hi - lo) * F.max(h - F.floor(h))).alias(quantile_name(p)))
+    out = r.where(wanted).groupBy(*by).agg(*aggs)
+    return out if keys else out.drop("__all")
 
 
 def quantile_name(p: float) -> str:
@@ -186,13 +186,48 @@ def joint_histogram(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete), long form."""
-    cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"__r{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', `__r{i}`" for i, (a, b) in enumerate(pairs))
-    return agg.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
+    """Pearson correlation of every pair (pairwise complete), long form; null where one
+    side does not vary.
+
+    One pass for any number of columns: a task sums the co-moments of all pairs over
+    its rows as masked matrix products (rows where both are present, their sums,
+    squares and products), Spark adds up one row per pair and task. Values are shifted
+    by their column's mean, so that the sums don't swamp the differences.
+    """
+    cols, k = list(columns), len(columns)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    shift = np.array([x or 0.0 for x in rows.agg(*[F.avg(c) for c in rows.columns]).first()])
+    upper = np.triu_indices(k)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) - shift
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            total[0] += m.T @ m
+            total[1] += x.T @ m            # of the first column, where the second is present too
+            total[2] += m.T @ x
+            total[3] += (x * x).T @ m
+            total[4] += m.T @ (x * x)
+            total[5] += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int32)) for u in upper] + [pa.array(t[upper]) for t in total],
+                                         ["a", "b", *_MOMENTS])
+
+    # every pair has a row, also if no task has any
+    pairs = df.sparkSession.range(k * k).select((F.col("id") / k).cast("int").alias("a"), (F.col("id") % k).cast("int").alias("b"),
+                                                *[F.lit(0.0).alias(c) for c in _MOMENTS]).where("a <= b")
+    sums = (rows.mapInArrow(moments, "a int, b int, " + ", ".join(f"{c} double" for c in _MOMENTS)).unionByName(pairs)
+            .groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in _MOMENTS]))
+    n, sx, sy, sxx, syy, sxy = map(F.col, _MOMENTS)
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    varies = (vx > n * sxx * 1e-12) & (vy > n * syy * 1e-12)  # more than rounding leaves
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(names[F.col("a")].alias("col_a"), names[F.col("b")].alias("col_b"),
+                       F.when(varies, (n * sxy - sx * sy) / F.sqrt(vx * vy)).alias("corr"))
+
+
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
 def length_profile(df: DataFrame, column: str, longer_than: int) -> DataFrame:

@@ -50,25 +50,26 @@ _PROFILE_COLS = ["item_id", "user_id", "region", "param_1", "param_2", "param_3"
 
 @query("table_profile", "A23",
        oracle=sql(" UNION ALL ".join(
-           f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) AS n_rows FROM ads"
+           f"SELECT '{c}' AS column_name, CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+           f"ELSE lower(typeof(any_value({c}))) END AS data_type, count({c}) AS non_null, count(*) AS n_rows FROM ads"
            for c in _PROFILE_COLS)))
 def q_profile(spark, sf_dir):
-    prof = P.table_profile(ads(spark, sf_dir).select(*_PROFILE_COLS))
-    return prof.select("column_name", "non_null", "n_rows")
+    prof = P.table_profile(ads(spark, sf_dir, text=True).select(*_PROFILE_COLS))
+    return prof.select("column_name", "data_type", "non_null", "n_rows")
 
 
 @query("null_counts", "A24",
        oracle=sql(" UNION ALL ".join(
            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null FROM ads" for c in _PROFILE_COLS)))
 def q_nulls(spark, sf_dir):
-    return P.null_counts(ads(spark, sf_dir), _PROFILE_COLS)
+    return P.null_counts(ads(spark, sf_dir, text=True), _PROFILE_COLS)
 
 
 @query("any_null_share", "A25",
        oracle=sql(f"""SELECT user_type, {r6sql('100.0 * avg(CASE WHEN price IS NULL OR description IS NULL '
                                                 'THEN 1.0 ELSE 0.0 END)')} AS pct_missing FROM ads GROUP BY user_type"""))
 def q_any_null(spark, sf_dir):
-    s = P.any_null_share(ads(spark, sf_dir), ["price", "description"], by=["user_type"])
+    s = P.any_null_share(ads(spark, sf_dir, text=True), ["price", "description"], by=["user_type"])
     return s.withColumn("pct_missing", r6("pct_missing"))
 
 

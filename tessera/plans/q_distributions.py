@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import distributions as R
-from ..session import scratch_path
+from ..session import scratch_path, spread
+from ..sources.manifest import manifest, with_content, write_objects
 from .registry import query, r6, r6sql, table
 
 
@@ -102,26 +103,26 @@ def q_colour_rounded(spark, sf_dir):
 
 
 def _page_files(spark, sf_dir):
-    """Each page written as its own file under the scratch folder, then
-    listed back with the binary file source."""
+    """Each page as a file of its own, many in each of sixteen folders, and their manifest."""
     path = scratch_path(spark, "pages")
-    table(spark, sf_dir, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
-    files = R.list_files(spark, path, "*.txt")  # not the writer's marker files
-    return files.withColumn("page_id", F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long"))
+    pages = table(spark, sf_dir, "pages")
+    name = F.concat_ws("/", F.col("page_id") % 16, F.concat(F.col("page_id").cast("string"), F.lit(".HTML")))
+    write_objects(spread(pages.select(name.alias("name"), "html"), "name"), path, "name", "html")
+    files = manifest(spark, path, [".html"])
+    return files.withColumn("page_id", F.regexp_extract("path", r"/(\d+)\.HTML$", 1).cast("long"))
 
 
-@query("file_listing", "S15 P16",
-       oracle="SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages")
+@query("file_listing", "S15 S16 P16", oracle="SELECT page_id, CAST(strlen(html) AS BIGINT) AS length FROM pages")
 def q_listing(spark, sf_dir):
     return _page_files(spark, sf_dir).select("page_id", "length")
 
 
 @query("unreadable_files", "R6",
-       oracle=r"""SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages
+       oracle=r"""SELECT page_id, CAST(strlen(html) AS BIGINT) AS length FROM pages
 WHERE NOT (starts_with(html, '<!DOCTYPE html>') AND ends_with(regexp_replace(html, '\s+$', ''), '</html>'))""")
 def q_unreadable(spark, sf_dir):
     files = _page_files(spark, sf_dir)
-    bad = R.signature_audit(files, b"<!DOCTYPE html>", b"</html>")
+    bad = R.signature_audit(with_content(files), b"<!DOCTYPE html>", b"</html>")
     return bad.join(files.select("path", "page_id"), "path").select("page_id", "length")
 
 
@@ -131,10 +132,11 @@ def q_present(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "images")
     # every 7th image is missing on disk
-    e.where(F.col("vec_id") % 7 != 0).select("vec_id", F.col("label").cast("string")) \
-        .write.partitionBy("vec_id").text(path)
-    listing = R.list_files(spark, path).select(
-        F.regexp_extract("path", r"vec_id=(\d+)", 1).cast("long").alias("vec_id"))
+    name = F.concat(F.col("vec_id").cast("string"), F.lit(".jpg"))
+    write_objects(spread(e.where(F.col("vec_id") % 7 != 0).select(name.alias("name"), F.col("label").cast("string").alias("label")),
+                         "name"), path, "name", "label")
+    listing = manifest(spark, path, [".png", ".jpg", ".jpeg"]).select(
+        F.regexp_extract("path", r"/(\d+)\.jpg$", 1).cast("long").alias("vec_id"))
     return R.present(e.select("vec_id", "label"), listing, "vec_id")
 
 

@@ -31,16 +31,14 @@ def _row_count(df: DataFrame) -> int:
 
 
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order, with the 18 columns of the reference's ads table plus
-    ``split`` (train / active / test)."""
+    """One row per order, with the columns of the reference's ads table but the
+    description (``with_description``) plus ``split`` (train / active / test)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     li = table(spark, sf_dir, "lineitem")
-    n_docs = _row_count(d)
     n_parts = _row_count(p)
 
     ret = li.groupBy("l_orderkey").agg(
@@ -51,7 +49,6 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.join(c, c.c_custkey == o.o_custkey)
         .join(n, n.n_nationkey == c.c_nationkey)
         .join(r, r.r_regionkey == n.n_regionkey)
-        .join(d, d.doc_id == key % F.lit(n_docs), "left")
         .join(p, p.p_partkey == key % F.lit(n_parts), "left")
         .join(ret, ret.l_orderkey == key, "left")
     )
@@ -68,7 +65,6 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("param_2"),
         F.when(key % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("param_3"),
         F.col("p_name").alias("title"),
-        F.when(key % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("description"),
         F.when(key % 17 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("price"),
         F.col("o_orderdate"),
         F.col("o_orderdate").cast("date").alias("activation_date"),
@@ -88,12 +84,23 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = shaped.join(seq.select("item_id", "item_seq_number"), "item_id")
     return seq.select(
         "item_id", "user_id", "region", "city", "parent_category_name", "category_name",
-        "param_1", "param_2", "param_3", "title", "description", "price",
+        "param_1", "param_2", "param_3", "title", "price",
         (F.col("item_seq_number") + 1).cast("int").alias("item_seq_number"),
         "activation_date", "user_type", "image_top_1", "deal_probability", "split",
     )
 
 
+def with_description(spark: SparkSession, sf_dir: str, narrow: DataFrame) -> DataFrame:
+    """The ads with their text, joined where a query reads it (a text belongs to many
+    ads; the stored view does not repeat it)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    key = F.col("item_id")
+    text = F.when(key % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("text")).alias("description")
+    at = narrow.columns.index("title") + 1
+    return (narrow.join(d, d.doc_id == key % F.lit(_row_count(d)), "left")
+            .select(*narrow.columns[:at], text, *narrow.columns[at:]))
+
+
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity periods: one row per line item. Items whose key is a multiple of
     101 are moved out of the ad key range so they have no owner."""

@@ -30,7 +30,7 @@ REGION_LABELS = [
   param_1, param_2, param_3, price, item_seq_number, activation_date, user_type, image_top_1,
   deal_probability, split FROM ads"""))
 def q_drop(spark, sf_dir):
-    return Fr.drop_columns(ads(spark, sf_dir), ["title", "description", "image", "not_there"])
+    return Fr.drop_columns(ads(spark, sf_dir, text=True), ["title", "description", "image", "not_there"])
 
 
 @query("keep_columns", "P2",
@@ -40,7 +40,7 @@ def q_keep(spark, sf_dir):
 
 
 def _translated(spark, sf_dir):
-    a = ads(spark, sf_dir)
+    a = ads(spark, sf_dir, text=True)
     # stand-in translation: a marked copy of the text
     return a.withColumns({en: F.concat(F.lit("en:"), src) for src, en in Fr.TRANSLATED.items()})
 
@@ -96,7 +96,7 @@ def q_sentinel(spark, sf_dir):
   coalesce(description, 'unknowntitle') AS description, coalesce(price, -999.0) AS price,
   coalesce(image_top_1, -999) AS image_top_1 FROM ads"""))
 def q_fill(spark, sf_dir):
-    a = ads(spark, sf_dir).select("item_id", "param_1", "user_type", "description", "price", "image_top_1")
+    a = ads(spark, sf_dir, text=True).select("item_id", "param_1", "user_type", "description", "price", "image_top_1")
     return Fr.fill_constants(a, {"param_1": "n/a", "user_type": "NA", "description": "unknowntitle",
                                  "price": -999.0, "image_top_1": -999})
 
@@ -172,14 +172,14 @@ def q_attach(spark, sf_dir):
 
 
 @query("split_label", "P15 U1",
-       oracle=sql("""SELECT item_id, price, 'train' AS split FROM ads WHERE split = 'train'
-UNION ALL SELECT item_id, price, 'test' AS split FROM ads WHERE split = 'test'"""))
+       oracle=sql("""SELECT item_id, price, 'train' AS split, deal_probability AS label FROM ads WHERE split = 'train'
+UNION ALL SELECT item_id, price, 'test' AS split, NULL AS label FROM ads WHERE split = 'test'"""))
 def q_split_label(spark, sf_dir):
     a = ads(spark, sf_dir).select("item_id", "price", "deal_probability", "split")
     train = a.where("split = 'train'").drop("split")
     test = a.where("split = 'test'").drop("split", "deal_probability")
-    stacked, _labels = Fr.split_label(train, test, "deal_probability")
-    return stacked
+    stacked, labels = Fr.split_label(train, test, "deal_probability")
+    return stacked.join(labels.withColumnRenamed("deal_probability", "label"), "item_id", "left")
 
 
 @query("file_name_parts", "P16",

@@ -51,9 +51,11 @@ def _cached(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _VIEW_CACHE[key]
 
 
-def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ads view, built once per session and table folder (checkpointed)."""
-    return _cached(spark, sf_dir, "ads", fixtures.ads)
+def ads(spark: SparkSession, sf_dir: str, text: bool = False) -> DataFrame:
+    """The ads view, built once per session and table folder (a written table);
+    ``text``: with the description, joined when it is read."""
+    narrow = _cached(spark, sf_dir, "ads", fixtures.ads)
+    return fixtures.with_description(spark, sf_dir, narrow) if text else narrow
 
 
 def periods(spark: SparkSession, sf_dir: str) -> DataFrame:

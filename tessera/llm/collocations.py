@@ -46,6 +46,8 @@ ENDS = ~_word_bytes(*((b, b) for b in _ENDS))
 UNKNOWN = "und"
 #: Bits of the filter of frequent phrases, a power of two: 8 MB go to each task at any size of the input.
 FILTER = 1 << 26
+#: Shares of a language's phrases that are ranked apart before they meet.
+SHARES = 16
 #: Parts of the stripes for each shuffle partition; a task holds one part at a time.
 PARTS = 4
 
@@ -284,7 +286,12 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         word = single.select(F.col("id").alias("wid"), F.col("word").alias(f"word{k}"), *(["lang"] if k == 0 else []))
         left = left.withColumn("wid", F.expr(f"try_element_at(ids, {k + 1})")).join(word, "wid", "left").drop("wid")
     named = left.select("lang", F.concat_ws(" ", *(f"word{k}" for k in range(longest))).alias("phrase"), "a", "l", "r", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # the best of each share first: a language with a third of all rows sends SHARES * top phrases to its last task
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    named = named.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for keys in (["lang", "share"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        named = named.withColumn("rank", place).where(F.col("rank") <= top)
+    best = named
     n = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return best.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 
 from .html_blocks import PATH_BUCKETS, Block, blocks_of
 from .html_samples import MAIN, sample_pages
+from .staging import prepare
 from .words import blocks, split_words
 
 WORD_BUCKETS = 4096
@@ -266,6 +267,7 @@ def _extract(shared, id_col: str, url_col: str, html_col: str):
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             net: Labeller | None = None) -> DataFrame:
     """Main text of every page: ``id_col, url_col, text, n_chars``."""
+    prepare(pages)
     shared = pages.sparkSession.sparkContext.broadcast(net or trained())  # fixed size, under 1 MB
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
     return pages.select(id_col, url_col, html_col).mapInArrow(

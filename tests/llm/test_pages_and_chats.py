@@ -65,6 +65,46 @@ def test_blocks_behind_embedded_elements():
     assert texts("<p>one</p><script>two</p><p>three</p>") == ["one"]
 
 
+@pytest.mark.parametrize("family", [
+    '<a x="', "<iframe><video>", "<svg>", "<script", "<script>", "<!--", "<annotation>", "<math><annotation>", "<div>a", "</p>",
+    "<b><p></p>", "<b>a<hr>", "<noscript><canvas> ", "<a class='x\" id=\"", "<", "<a b ", "<object> <audio> ", "<p><b><li>", "<div></x>"])
+def test_hostile_pages_end(family):
+    """The scanner reads a megabyte of what never closes in seconds."""
+    import time
+
+    from tessera.llm.html_blocks import DEPTH, blocks_of
+    start = time.process_time()
+    found = blocks_of(family * (1_000_000 // len(family)))
+    assert time.process_time() - start < 20
+    assert all(len(b.path) <= 4 * DEPTH for b in found)
+
+
+def test_lstm_equals_plain_loop(labeller):
+    """The batched layers against one page, one step and one number at a time."""
+    import math
+
+    import numpy as np
+
+    from tessera.llm.html_extract import HIDDEN
+    rng = np.random.default_rng(0)
+    layer = labeller.ahead
+    steps = [5, 1, 3]
+    x = rng.normal(size=(5, 3, layer.wx.shape[0])).astype(np.float32)
+    live = np.arange(5)[:, None] < np.array(steps)
+    got = layer.run(x, live)
+    sig = lambda v: 1 / (1 + math.exp(-min(30, max(-30, v))))
+    for page, n in enumerate(steps):
+        h, c = [0.0] * HIDDEN, [0.0] * HIDDEN
+        for t in range(n):
+            z = [float(layer.b[j]) + sum(float(x[t, page, i]) * float(layer.wx[i, j]) for i in range(x.shape[2]))
+                 + sum(h[i] * float(layer.wh[i, j]) for i in range(HIDDEN)) for j in range(4 * HIDDEN)]
+            for j in range(HIDDEN):
+                c[j] = sig(z[HIDDEN + j]) * c[j] + sig(z[j]) * math.tanh(z[3 * HIDDEN + j])
+            h = [sig(z[2 * HIDDEN + j]) * math.tanh(c[j]) for j in range(HIDDEN)]
+            assert np.allclose(got[t, page], h, atol=1e-4)
+        assert not got[n:, page].any()
+
+
 def test_extract_edges(spark, labeller):
     from tessera.llm.html_extract import extract
     long = "<article>" + "<p>Some &lt;long&gt; &amp; plain text of the story, told once more.</p>" * 3000 + "</article>"
@@ -117,6 +157,37 @@ def test_url_templates(spark):
     assert Counter((r["path"].split("/")[1], r["verdict"]) for r in got) == {("win", "block"): 40, ("news", "allow"): 40}
 
 
+def test_url_back_off(spark):
+    """A branch without labels goes by its nearest labelled ancestor, as far as that is labelled."""
+    from tessera.llm.url_filter import filter_urls
+    made = [("b.org", "bad", 20, True), ("b.org", "other", 2, False),        # nearly all labelled and blocked
+            ("s.org", "es", 5, True), ("s.org", "de", 7, False), ("s.org", "en", 8, False),  # one section of three
+            ("n.org", "x", 9, False),                                         # no label at all
+            ("d.org", "keep/deep", 6, False), ("d.org", "keep/bad", 30, True), ("d.org", "fine", 40, "allow")]
+    urls = [(h, p, f"http://{h}/{p}/page{k}" + "abcdefghij"[k % 10]) for h, p, n, _ in made for k in range(n)]
+    rules = [("block", "b.org/bad/"), ("block", "s.org/es/"), ("block", "d.org/keep/bad/"), ("allow", "d.org/fine/")]
+    df = spark.createDataFrame([(k, u) for k, (_, _, u) in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(df, rules).collect()}
+
+    def want(host, part):
+        label = {(h, p): kind for h, p, _, kind in made}[host, part]
+        if label:
+            return "allow" if label == "allow" else "block"
+        # labelled, blocked and all URLs below the nearest ancestor with labels
+        for depth in range(part.count("/"), -1, -1):
+            top = part.split("/")[:depth]
+            under = [(n, kind) for h, p, n, kind in made if h == host and p.split("/")[:depth] == top]
+            labelled = sum(n for n, kind in under if kind)
+            if labelled:
+                rate = (sum(n for n, kind in under if kind is True) + 0.4) / (labelled + 4)
+                return "block" if 0.1 + labelled / sum(n for n, _ in under) * (rate - 0.1) >= 0.5 else "allow"
+        return "allow"
+    verdicts = {(h, p): {got[k] for k, (a, b, _) in enumerate(urls) if (a, b) == (h, p)} for h, p, _, _ in made}
+    assert verdicts == {(h, p): {want(h, p)} for h, p, _, _ in made}
+    assert verdicts["b.org", "other"] == verdicts["d.org", "keep/deep"] == {"block"}
+    assert verdicts["s.org", "de"] == verdicts["n.org", "x"] == {"allow"}
+
+
 def escaped(x):
     return x.replace("\\", "\\\\").replace("<|", "<\\|")
 

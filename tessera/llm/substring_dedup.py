@@ -14,14 +14,17 @@ block's first copy travels: a passage in a third of all documents costs one
 packed string per block. Windows that straddle the passage's edge differ in every
 document and share a few minimisers: minimisers of more than ``HOT`` windows are
 counted first, and their windows travel one by one to the bucket of the whole
-window's hash, so no bucket is held by one task but that of equal windows. The packed strings of a block that go to one part of
+window's hash, so no bucket is held by one task but that of equal windows. Hot is
+what would fill a part of its own (more than HOT windows, and more than the mean
+part), so there are fewer hot minimisers than parts. The packed strings of a block that go to one part of
 the buckets share a compressed parcel; a task opens one part at a time.
 
 Defined results: a null or empty text has no words and keeps nothing; a text
 shorter than the window loses nothing; rows that share a doc_id are versions of
-one document (windows at the same start don't remove each other; a span found in
-one is removed in all); a null doc_id counts as the largest one. Extra columns
-are ignored.
+one document: windows at the same start don't remove each other, an earlier start
+in any of them counts as earlier, and each loses only its own repeated windows (rows
+are told apart by id and text; equal ones lose the same). A null doc_id counts as
+the largest one. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,19 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import shuffle_tasks, stage
+from .staging import prepare, shuffle_tasks, stage, total
 from .words import (
-    Words, as_bytes, blocks, inside_text, mix, runs, sequence_hashes, sliding_min, split_words,
+    BLOCK_BYTES, Words, as_bytes, blocks, inside_text, mix, runs, sequence_hashes, sliding_min, split_words,
 )
 
 NULL_ID = 2**63 - 1
 #: Parts of the minimisers for each shuffle partition; a task holds one part at a time.
 PARTS = 16
-#: A minimiser of more windows than this is hot; a block reports its minimisers of
-#: SEEN different windows or more, so HOT + SEEN windows a block are the bound.
+#: A minimiser of more windows than this, and than the mean part has, is hot. A block
+#: reports its minimisers of SEEN different windows or more (fewer, if the parts are
+#: so many that what it leaves out could fill one).
 HOT, SEEN = 200_000, 32
 _TRAVEL = "part int, n int, size long, parcel binary"
-_SPANS = "doc long, start int, n int"
+_SPANS = "doc long, row long, start int, n int"
 
 
 def repeated_windows(words: Words, n: int, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -100,45 +104,51 @@ def minimisers(words: Words, window: int, core: int) -> np.ndarray:
     return smallest
 
 
-def _often(text_col: str, window: int, core: int, seen: int):
-    """Task function: the block's minimisers of ``seen`` different windows or more."""
+def _often(window: int, core: int, seen: int):
+    """Task function: the block's minimisers of ``seen`` different windows or more,
+    and (null) the number of its windows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
-            words = split_words(as_bytes(block[text_col]))
+        for block in blocks(batches, "text"):
+            words = split_words(as_bytes(block["text"]))
             at = np.flatnonzero(inside_text(words, window))
             if not len(at):
                 continue
             _, first = np.unique(sequence_hashes(words.hashes(), window)[at], return_index=True)
             m, n = np.unique(minimisers(words, window, core)[at[first]], return_counts=True)
+            m, n = m[n >= seen].view(np.int64), n[n >= seen]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(m[n >= seen].astype(np.int64)), pa.array(n[n >= seen])], ["m", "n"])
+                [pa.array([*m.tolist(), None], pa.int64()), pa.array([*n.tolist(), len(first)], pa.int64())], ["m", "n"])
 
     return work
 
 
-def hot_minimisers(docs: DataFrame, text_col: str, window: int, core: int, hot: int, seen: int) -> np.ndarray:
-    """Minimisers of more than ``hot`` windows, sorted; fewer than windows / hot."""
-    found = (docs.select(text_col).mapInArrow(_often(text_col, window, core, seen), "m long, n long")
-             .groupBy("m").agg(F.sum("n").alias("n")).where(F.col("n") > hot).select("m"))
-    return np.sort(np.array([r["m"] for r in found.collect()], np.int64).view(np.uint64))
+def hot_minimisers(docs: DataFrame, text_col: str, window: int, core: int, hot: int, seen: int, parts: int) -> np.ndarray:
+    """Minimisers of more windows than ``hot`` and than the mean of ``parts``, sorted;
+    fewer than ``parts``."""
+    seen = max(1, min(seen, BLOCK_BYTES // 8 // parts))
+    found = stage(docs.select(F.col(text_col).alias("text")).mapInArrow(_often(window, core, seen), "m long, n long")
+                  .groupBy("m").agg(F.sum("n").alias("n")), "minimisers")
+    mean = total(found.where("m IS NULL"), "n") // parts
+    rows = found.where(F.col("m").isNotNull() & (F.col("n") > max(hot, mean))).select("m").collect()
+    return np.sort(np.array([r["m"] for r in rows], np.int64).view(np.uint64))
 
 
-def _pack(id_col: str, text_col: str, window: int, core: int, parts: int, hot):
+def _pack(window: int, core: int, parts: int, hot):
     """Task function: packed strings of the windows that have no earlier copy in
     their block, in one compressed parcel for each block and part (a part holds
     the buckets of ``1 / parts`` of the minimisers), and the spans of the windows
     that have one."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
-            ids = block[id_col].fill_null(NULL_ID).to_numpy().astype(np.int64)
+        for block in blocks(batches, "text"):
+            ids = block["id"].fill_null(NULL_ID).to_numpy().astype(np.int64)
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
-            texts = as_bytes(block[text_col])
+            texts = as_bytes(block["text"])
             words = split_words([texts[i] for i in order])
             per_text = np.diff(words.first)
-            doc = np.repeat(ids, per_text)
+            doc, row = np.repeat(ids, per_text), np.repeat(block["row"].to_numpy()[order], per_text)
             start = np.arange(len(words)) - np.repeat(words.first[:-1], per_text)
             again = repeated_windows(words, window, doc, start)
             fresh = inside_text(words, window) & ~again
@@ -157,13 +167,13 @@ def _pack(id_col: str, text_col: str, window: int, core: int, parts: int, hot):
             packed = [text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
             cut = np.flatnonzero(np.diff(part, prepend=-1))
             out = []
-            for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=True):
-                parcel = b"".join([doc[at[i:j]].tobytes(), start[at[i:j]].tobytes(),
+            for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=False):
+                parcel = b"".join([doc[at[i:j]].tobytes(), row[at[i:j]].tobytes(), start[at[i:j]].tobytes(),
                                    (end[i:j] - begin[i:j]).tobytes(), *packed[i:j]])
                 out.append((int(part[i]), j - i, len(parcel), pa.compress(parcel, "zstd", asbytes=True)))
-            at, n = runs(again, doc, start - np.arange(len(words)))
+            at, n = runs(again, words.text_of())
             if len(at):
-                parcel = doc[at].tobytes() + start[at].tobytes() + n.tobytes()
+                parcel = doc[at].tobytes() + row[at].tobytes() + start[at].tobytes() + n.tobytes()
                 out.append((int(doc[0] % parts), -len(at), len(parcel),
                             pa.compress(parcel, "zstd", asbytes=True)))
             yield pa.RecordBatch.from_arrays(
@@ -174,10 +184,10 @@ def _pack(id_col: str, text_col: str, window: int, core: int, parts: int, hot):
     return work
 
 
-def _open(parcel: bytes, size: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+def _open(parcel: bytes, size: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     raw = pa.decompress(parcel, size, "zstd", asbytes=True)
-    doc, start, last = np.frombuffer(raw, np.int64, 3 * n).reshape(3, n)
-    return doc, start, last, raw[24 * n:]
+    doc, row, start, last = np.frombuffer(raw, np.int64, 4 * n).reshape(4, n)
+    return doc, row, start, last, raw[32 * n:]
 
 
 def _count(window: int):
@@ -185,9 +195,10 @@ def _count(window: int):
     earlier one of their part."""
 
     def judged(parcels: list) -> Iterator[pa.RecordBatch]:
-        docs, starts, texts = [], [], []
-        for doc, start, size, text in parcels:
+        docs, rows, starts, texts = [], [], [], []
+        for doc, row, start, size, text in parcels:
             docs.append(doc)
+            rows.append(row)
             starts.append(start)
             end = np.cumsum(size)
             texts += [text[a:b] for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
@@ -195,11 +206,11 @@ def _count(window: int):
         order = np.lexsort((start, doc))
         words = split_words([texts[i] for i in order])
         per_text = np.diff(words.first)
-        doc = np.repeat(doc[order], per_text)
+        doc, row = np.repeat(doc[order], per_text), np.repeat(np.concatenate(rows)[order], per_text)
         start = (np.repeat(start[order] - words.first[:-1], per_text) + np.arange(len(words)))
         again = repeated_windows(words, window, doc, start)
         at, n = runs(again, words.text_of())
-        yield _spans(doc[at], start[at], n)
+        yield _spans(doc[at], row[at], start[at], n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now = [], None
@@ -211,7 +222,7 @@ def _count(window: int):
                 now = part
                 opened = _open(parcel, size, abs(n))
                 if n < 0:
-                    yield _spans(*opened[:3])
+                    yield _spans(*opened[:4])
                 else:
                     held.append(opened)
         if held:
@@ -220,33 +231,42 @@ def _count(window: int):
     return work
 
 
-def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _spans(doc: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
-        ["doc", "start", "n"])
+        [pa.array(doc), pa.array(row), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+        ["doc", "row", "start", "n"])
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, row, text``: ``row`` tells the texts of one id apart."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("row"),
+                       F.col(text_col).alias("text"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = 20, core: int = 6, hot: int = HOT, seen: int = SEEN) -> DataFrame:
-    """Spans of word windows that also start earlier: ``doc, start, n``.
+    """Spans of word windows that also start earlier: ``doc, row, start, n`` (``row``:
+    hash of the text).
 
     ``n`` consecutive windows from word ``start`` of the document repeat an
     earlier window (smaller document, or earlier in the same one). ``core`` words
     make a minimiser: fewer travel less text, more make hot minimisers rarer.
     """
+    prepare(docs)
     tasks = shuffle_tasks(docs)
-    known = docs.sparkSession.sparkContext.broadcast(hot_minimisers(docs, text_col, window, core, hot, seen))
-    return (docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
-            .mapInArrow(_pack(id_col, text_col, window, core, tasks * PARTS, known), _TRAVEL)
+    parts = tasks * PARTS
+    known = docs.sparkSession.sparkContext.broadcast(hot_minimisers(docs, text_col, window, core, hot, seen, parts))
+    return (_keyed(docs, id_col, text_col)
+            .mapInArrow(_pack(window, core, parts, known), _TRAVEL)
             .repartition(tasks, "part")
             .sortWithinPartitions("part")
             .mapInArrow(_count(window), _SPANS))
 
 
-def _remove(id_col: str, text_col: str, window: int, with_text: bool):
+def _remove(window: int, with_text: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col):
-            words = split_words(as_bytes(block[text_col]))
+        for block in blocks(batches, "text"):
+            words = split_words(as_bytes(block["text"]))
             per_text = np.diff(words.first)
             # +1 where a removed stretch begins, -1 where it ends
             edge = np.zeros(len(words) + 1, np.int64)
@@ -266,7 +286,7 @@ def _remove(id_col: str, text_col: str, window: int, with_text: bool):
             parts = [kept[a:max(a, b - 1)] for a, b in zip(
                 upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
             removed = np.concatenate(([0], np.cumsum(gone)))[words.first]
-            out = {id_col: block[id_col], "n_words": pa.array(per_text.astype(np.int64)),
+            out = {"id": block["id"], "n_words": pa.array(per_text.astype(np.int64)),
                    "n_removed": pa.array(np.diff(removed).astype(np.int64)),
                    "kept_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in parts])}
             if with_text:
@@ -284,13 +304,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_text`` (the words left, joined by one space).
     """
     spans = stage(repeated_spans(docs, id_col, text_col, window, core), "repeat-spans")
-    key = "__key"
-    per_doc = (spans.groupBy(F.col("doc").alias(key))
+    per_row = (spans.groupBy("doc", F.col("row").alias("text_row"))
                .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
-    rows = (docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
-            .withColumn(key, F.coalesce(F.col(id_col), F.lit(NULL_ID))))
-    schema = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string"
-    if with_text:
-        schema += ", kept_text string"
-    return (rows.join(per_doc, key, "left").select(id_col, text_col, "spans")
-            .mapInArrow(_remove(id_col, text_col, window, with_text), schema))
+    rows = _keyed(docs, id_col, text_col)
+    schema = "id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    same = (F.coalesce("id", F.lit(NULL_ID)) == per_row["doc"]) & (rows["row"] == per_row["text_row"])
+    return (rows.join(per_row, same, "left").select("id", "text", "spans")
+            .mapInArrow(_remove(window, with_text), schema).withColumnRenamed("id", id_col))

@@ -7,14 +7,15 @@ windows that cover it whole; its language has the largest sum of log
 probabilities over the windows, weighted by their letters.
 
 Training is plain stochastic gradient descent (Adam) on the driver over a bounded
-sample of labelled rows: per language at most ``per_lang`` documents (those with
-the smallest hash of the id) and ``windows_per_doc`` windows of each, at evenly
-spread places of its text. Prediction runs in Spark tasks over all documents.
+sample of labelled rows: per language about ``per_lang`` documents (those with the
+smallest hash of id and text; rows equal in both are one) and ``windows_per_doc``
+windows of each, at evenly spread places of its text. Prediction runs in Spark tasks over all documents.
 
 Defined results: ``und`` with score 0 for null text and texts without a letter,
 and for all texts if nothing labelled was given; the score is the mean
 probability of the predicted language over the text's windows; ties go to the
-language that sorts first; rows are judged one by one. Extra columns are ignored.
+language that sorts first; rows are judged one by one. Extra columns are ignored;
+a kept column that is named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import small, stage
+from .staging import prepare, small, stage, unused
 from .words import as_bytes, blocks
 
 WINDOW = 256
@@ -154,17 +155,19 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
           windows_per_doc: int = 6, seed: int = 1) -> Net | None:
     """A network trained on a bounded sample of ``labelled`` (None if it is empty).
 
-    The sample's documents are picked by hash; a language's share of the hash
-    range is set from its count, so that about ``per_lang`` documents come to the
-    driver, as windows.
+    The sample's documents are picked by hash of id and text; a language's share of
+    the hash range is set from its count, so that about ``per_lang`` documents (rows
+    alike in both count once) come to the driver, as windows.
     """
+    prepare(labelled)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.rlike(F.coalesce(text_col, F.lit("")), F.lit(LETTER)))
-    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("key"),
+    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("key"),
                        F.col(text_col).alias("text"))
     size = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     share = (F.abs(F.col("key") % 1_000_000_007) / 1_000_000_007.0) * F.col("n")
     # counted: a table of languages goes to the tasks, texts are not shuffled by language
     picked = rows.join(small(size, 100_000), "lang").where(share < per_lang).select("lang", "key", "text")
+    picked = picked.dropDuplicates(["lang", "key"])  # null or repeated ids with one text don't add up
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -188,12 +191,12 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
     return train(x, np.array([number[r[0]] for r in got]), langs, seed=seed)
 
 
-def _predict(shared, keep: list[str], text_col: str):
+def _predict(shared, keep: list[str], text_col: str, letters: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net: Net | None = shared.value
         for block in blocks(batches, text_col):
             texts = as_bytes(block[text_col])
-            spoken = block["__letters"].to_numpy()
+            spoken = block[letters].to_numpy()
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             asked = np.flatnonzero(spoken) if net else np.zeros(0, int)
             if len(asked):
@@ -216,12 +219,15 @@ def _predict(shared, keep: list[str], text_col: str):
 
 def identify(docs: DataFrame, net: Net | None, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``keep`` of every row, with ``lang_pred`` and ``score``."""
+    prepare(docs)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand weights
+    keep = tuple(c for c in keep if c.lower() not in ("lang_pred", "score"))
+    name, = unused(docs, "letters")
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
                        + ["lang_pred string", "score double"])
     letters = F.rlike(F.coalesce(F.col(text_col), F.lit("")), F.lit(LETTER))
-    rows = docs.select(*dict.fromkeys([*keep, text_col])).withColumn("__letters", letters)
-    return rows.mapInArrow(_predict(shared, list(keep), text_col), schema)
+    rows = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])), letters.alias(name))
+    return rows.mapInArrow(_predict(shared, list(keep), text_col, name), schema)
 
 
 def held_out(id_col: Column) -> Column:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import discard, small, stage
+from .staging import discard, prepare, small, stage
 from .words import as_bytes, blocks, inside_text, mix, sequence_hashes, split_words
 
 #: Bins of the one-permutation sketch: BANDS bands of ROWS bins.
@@ -307,6 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     set), ``component_id`` (the smallest id reachable over links) and ``kept``
     (the row is its component's smallest id).
     """
+    prepare(docs)
     docs = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
     sketch = stage(docs.mapInArrow(
         _sketch(id_col, text_col, size, bands, rows),

@@ -20,7 +20,8 @@ constant.
 Positions are code points, ends exclusive. Defined results: null and empty texts
 have no spans; rows are judged one by one, repeated rows alike; with no documents
 to train on, the ordinary model is uniform and no run is above the ratio by
-chance alone. Extra columns are ignored.
+chance alone. Extra columns are kept as they are; one named ``secret_spans`` is
+replaced by the result.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import unused
+
 # The base patterns.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
           r"""([A-Za-z0-9+/_.=-]+)""")
@@ -136,11 +139,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample
         varied = F.size(F.array_distinct(F.split(token, ""))) >= 8  # not a ruler such as ------
         return varied & (F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, p)) > min_ratio)
 
-    based = docs.select("*", base_spans(F.col(text_col)).alias("__base"),
-                        spans_of(text, TOKEN, 3).alias("__tokens"))
-    based = based.withColumn("__tokens", _outside(F.col("__tokens"), F.col("__base")))
-    own = F.filter("__tokens", lambda t: random_like(t["value"]))
-    return based.select(*docs.columns, F.sort_array(F.concat("__base", own)).alias("secret_spans"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "secret_spans"]
+    base, tokens = unused(docs, "base", "tokens")
+    based = docs.select(*kept, base_spans(F.col(text_col)).alias(base), spans_of(text, TOKEN, 3).alias(tokens))
+    based = based.withColumn(tokens, _outside(F.col(tokens), F.col(base)))
+    own = F.filter(tokens, lambda t: random_like(t["value"]))
+    return based.select(*kept, F.sort_array(F.concat(base, own)).alias("secret_spans"))
 
 
 def _outside(tokens: Column, base: Column) -> Column:

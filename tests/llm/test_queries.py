@@ -67,3 +67,32 @@ def test_pipeline(spark):
     assert "hunter2" not in marked.where("doc_id = 9004").first()["text"]
     assert marked.columns == docs.columns
     assert mixed <= set(e) and mix.where("taken <= 0 OR taken > 3 * size").count() == 0
+
+
+def test_pipeline_rows_and_columns(spark):
+    """Null and shared ids are judged by their own text; columns of any name pass."""
+    import corpus_pipeline as P
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    names = ("secret_spans", "base", "tokens", "score", "lang_pred", "letters", "document", "text_md5", "key", "size")
+    plain = "It was a quiet day in the town and the people went about their work without any haste at all. "
+    data = [(None, "We read that " + item), (None, plain + "One."), (7, "They said " + item), (7, plain * 2 + "Two."),
+            (8, plain * 3 + "password = 'hunter2hunter2' was there."), (9, "12 34")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), *["kept"] * len(names)) for i, t in data],
+                                 "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{c}` string" for c in names))
+    real = spark.read.parquet(f"{SF}/documents.parquet")
+    all_ = docs.unionByName(real, allowMissingColumns=True).where("doc_id IS NULL OR doc_id < 10 OR doc_id > 100")
+
+    def mine(df):
+        return sorted((r["doc_id"] or 0, r["text"][:40]) for r in df.where("base = 'kept'").collect())
+    now = P.stage(P.language(spark, all_, SF), "test-language")
+    assert now.columns == all_.columns and (9, "12 34") not in mine(now)
+    clean = P.stage(P.decontaminate(spark, docs.where("doc_id IS NULL OR doc_id < 9"), SF), "test-clean")
+    assert clean.columns == docs.columns
+    assert mine(clean) == sorted((i or 0, t[:40]) for i, t in data if item not in t and i != 9)
+    safe = P.stage(P.secrets(spark, clean, SF), "test-safe")
+    assert safe.columns == docs.columns and safe.where("secret_spans = 'kept' AND base = 'kept' AND score = 'kept'").count() == safe.count()
+    row = safe.where("doc_id = 8").first()
+    assert "hunter2" not in row["text"] and row["n_chars"] == len(row["text"])
+    assert P.mixing(spark, safe, SF).count() > 0
+    assert P.near_dedup(spark, docs, SF).columns == docs.columns

@@ -317,7 +317,7 @@ WITH u AS (
 r AS (SELECT *, CASE {fits} END AS rule FROM u),
 s0 AS (
   SELECT host, path, count(*) AS n, count(rule) AS labelled, count(*) FILTER (WHERE rule IN ({blocked})) AS blocked,
-         '' AS template, regexp_replace(path, '^/', '') AS rest FROM r GROUP BY host, path)"""]
+         '' AS template, regexp_replace(path, '^/', '') AS rest, 0 AS un, 0 AS ul, 0 AS ub FROM r GROUP BY host, path)"""]
     for k in range(levels):
         out.append(rf""",
 a{k} AS (
@@ -335,15 +335,19 @@ b{k} AS (
     WHEN starts_with(seg, '*') THEN seg WHEN children > 20 AND n <= 2 THEN '*' WHEN l = 0 THEN '{{?}}'
     WHEN CASE WHEN tb / tl * (1 - tb / tl) > 0
          THEN abs(b / l - tb / tl) / sqrt(tb / tl * (1 - tb / tl) * (1 / l + 1 / tl)) < 1.96
-         ELSE b / l = tb / tl END THEN '{{+}}' ELSE seg END AS branch
-  FROM (SELECT *, count(*) OVER w AS children, sum(l) OVER w AS tl, sum(b) OVER w AS tb
+         ELSE b / l = tb / tl END THEN '{{+}}' ELSE seg END AS branch, tn, tl, tb
+  FROM (SELECT *, count(*) OVER w AS children, sum(n) OVER w AS tn, sum(l) OVER w AS tl, sum(b) OVER w AS tb
         FROM c{k} WINDOW w AS (PARTITION BY host, template))),
 s{k + 1} AS (
-  SELECT a.host, a.path, a.n, a.labelled, a.blocked, a.template || coalesce('/' || branch, '') AS template, rest
+  SELECT a.host, a.path, a.n, a.labelled, a.blocked, a.template || coalesce('/' || branch, '') AS template, rest,
+         CASE WHEN tl > 0 THEN tn ELSE un END AS un, CASE WHEN tl > 0 THEN tl ELSE ul END AS ul,
+         CASE WHEN tl > 0 THEN tb ELSE ub END AS ub
   FROM a{k} a LEFT JOIN b{k} b ON a.host = b.host AND a.template = b.template AND a.seg = b.seg)""")
     out.append(rf""",
-f AS (SELECT host, path, labelled, blocked, template || CASE WHEN rest <> '' THEN '/**' ELSE '' END AS template FROM s{levels}),
-j AS (SELECT host, template, (sum(blocked) + 0.4) / (sum(labelled) + 4) >= 0.5 AS rejected FROM f GROUP BY ALL)
+f AS (SELECT host, path, labelled, blocked, un, ul, ub, template || CASE WHEN rest <> '' THEN '/**' ELSE '' END AS template FROM s{levels}),
+j AS (SELECT host, template, CASE WHEN sum(labelled) > 0 THEN (sum(blocked) + 0.4) / (sum(labelled) + 4) >= 0.5
+        ELSE coalesce(0.1 + max(ul) / nullif(max(un), 0) * ((max(ub) + 0.4) / (max(ul) + 4) - 0.1), 0.1) >= 0.5 END AS rejected
+      FROM f GROUP BY host, template)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ({blocked}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
        WHEN rejected THEN 'block' ELSE 'allow' END AS verdict, template
 FROM r JOIN f USING (host, path) JOIN j USING (host, template)""")

@@ -17,8 +17,12 @@ tasks. At each level, under each template so far, the next path segments are
   stays apart.
 
 A template is rejected if its smoothed block rate ``(blocked + strength * prior) /
-(labelled + strength)`` is at least ``reject``. Without labels that is the prior,
-so unlabelled templates are allowed. Paths below ``levels`` segments end in ``**``.
+(labelled + strength)`` is at least ``reject``. A template without labels backs off to
+its nearest ancestor with some: ``prior + share * (rate - prior)``, where ``rate`` is the
+ancestor's smoothed rate and ``share`` the part of its URLs that are labelled. So the rest
+of a host whose pages are nearly all labelled and blocked is rejected; one section of
+many that a rule blocks says little of the others. Paths below ``levels`` segments end
+in ``**``.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and
 no rule; it is judged by the empty template. Repeated rows get equal verdicts.
@@ -70,9 +74,11 @@ def _shape(segment: Column) -> Column:
 def templates(paths: DataFrame, levels: int = 4, siblings: int = 20, rare: int = 2,
               z_limit: float = 1.96) -> DataFrame:
     """Template of every row of ``paths`` (distinct ``host, path`` with ``n`` URLs,
-    ``labelled`` and ``blocked`` ones): adds ``template``."""
+    ``labelled`` and ``blocked`` ones): adds ``template`` and the counts of the nearest
+    ancestor with labels, ``up_n, up_labelled, up_blocked`` (0: none has)."""
+    counts = ("n", "labelled", "blocked")
     state = paths.withColumn("template", F.lit("")).withColumn(
-        "rest", F.regexp_replace("path", "^/", ""))
+        "rest", F.regexp_replace("path", "^/", "")).withColumns({f"up_{c}": F.lit(0).cast("long") for c in counts})
     for _ in range(levels):
         segment = _shape(F.substring_index("rest", "/", 1))
         more = F.length("rest") > 0
@@ -81,9 +87,9 @@ def templates(paths: DataFrame, levels: int = 4, siblings: int = 20, rare: int =
                 F.col("rest"), F.locate("/", F.col("rest")) + 1, F.length("rest"))).otherwise(F.lit("")))
         node = ["host", "template"]
         child = (state.where("segment IS NOT NULL").groupBy(*node, "segment")
-                 .agg(*[F.sum(c).alias(f"c_{c}") for c in ("n", "labelled", "blocked")]))
+                 .agg(*[F.sum(c).alias(f"c_{c}") for c in counts]))
         total = child.groupBy(*node).agg(
-            F.count(F.lit(1)).alias("children"), *[F.sum(f"c_{c}").alias(f"t_{c}") for c in ("labelled", "blocked")])
+            F.count(F.lit(1)).alias("children"), *[F.sum(f"c_{c}").alias(f"t_{c}") for c in counts])
         rate, own = F.col("t_blocked") / F.col("t_labelled"), F.col("c_blocked") / F.col("c_labelled")
         spread = F.sqrt(rate * (1 - rate) * (1 / F.col("c_labelled") + 1 / F.col("t_labelled")))
         alike = F.when(spread > 0, F.abs(own - rate) / spread < z_limit).otherwise(own == rate)
@@ -91,10 +97,13 @@ def templates(paths: DataFrame, levels: int = 4, siblings: int = 20, rare: int =
                   .when((F.col("children") > siblings) & (F.col("c_n") <= rare), F.lit("*"))
                   .when(F.col("c_labelled") == 0, F.lit("{?}"))
                   .when(alike, F.lit("{+}")).otherwise(F.col("segment")))
-        names = child.join(total, node).select(*node, "segment", branch.alias("branch"))
-        state = (state.join(names, [*node, "segment"], "left")
-                 .withColumn("template", F.when(F.col("branch").isNotNull(), F.concat_ws("/", "template", "branch"))
-                             .otherwise(F.col("template"))).drop("branch", "segment"))
+        names = child.join(total, node).select(*node, "segment", branch.alias("branch"), *[f"t_{c}" for c in counts])
+        state = state.join(names, [*node, "segment"], "left")
+        known = F.col("t_labelled") > 0
+        state = state.withColumns({
+            "template": F.when(F.col("branch").isNotNull(), F.concat_ws("/", "template", "branch")).otherwise(F.col("template")),
+            **{f"up_{c}": F.when(known, F.col(f"t_{c}")).otherwise(F.col(f"up_{c}")) for c in counts},
+        }).drop("branch", "segment", *[f"t_{c}" for c in counts])
         state = stage(state, "templates")
     deep = F.length("rest") > 0
     return state.withColumn("template", F.when(deep, F.concat("template", F.lit("/**"))).otherwise(
@@ -111,9 +120,15 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str
         F.count(F.lit(1)).alias("n"), F.count("r.verdict").alias("labelled"),
         F.count_if(F.col("r.verdict") == "block").alias("blocked"))
     placed = templates(paths, levels)
-    rate = (F.col("b") + F.lit(strength * prior)) / (F.col("l") + F.lit(strength))
-    judged = placed.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")).select(
-        "host", "template", (rate >= reject).alias("rejected"))
+    def rate(blocked: str, labelled: str) -> Column:
+        return (F.col(blocked) + F.lit(strength * prior)) / (F.col(labelled) + F.lit(strength))
+
+    share = F.col("up_labelled") / F.when(F.col("up_n") > 0, F.col("up_n"))
+    back_off = F.coalesce(F.lit(prior) + share * (rate("up_blocked", "up_labelled") - F.lit(prior)), F.lit(prior))
+    judged = placed.groupBy("host", "template").agg(
+        F.sum("labelled").alias("l"), F.sum("blocked").alias("b"),
+        *[F.max(f"up_{c}").alias(f"up_{c}") for c in ("n", "labelled", "blocked")]).select(
+        "host", "template", (F.when(F.col("l") > 0, rate("b", "l")).otherwise(back_off) >= reject).alias("rejected"))
     verdicts = placed.join(judged, ["host", "template"]).select("host", "path", "template", "rejected")
     return (rows.join(verdicts, ["host", "path"])
             .select(id_col, "host", "path", F.col("r.rule").alias("rule"), F.coalesce(

@@ -12,16 +12,16 @@ the last return the columns of ``documents``:
 5. mixing: every document gets ``size, source_size, target, taken``; those of
    which the mix takes nothing go.
 
-Documents are told apart by doc_id; rows that share one are one document (stages 1
-and 3 keep it if any of its rows is kept), and rows without one are judged alike:
-stage 2 keeps them all.
+Stages 1, 3 and 4 judge every row by its own text, whatever its doc_id. Stage 2 names
+documents by doc_id: rows that share one are versions of one document and stay or go
+together; rows without one all stay. Columns of any name are carried along.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.decontaminate import contamination
@@ -35,12 +35,24 @@ from tessera.llm.staging import stage
 MIN_SCORE = 0.3
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the other columns in one, so that no name can clash with an
+    operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("document"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    changed = {"text": F.col("text"), **changed}
+    return rows.select(*(changed.get(c, F.col(f"document.`{c}`")).alias(c) for c in columns))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell. It learns from the labelled
     documents outside the held-out third."""
     net = learn(docs.where(~held_out(F.col("doc_id"))), "doc_id", "text", "lang")
-    told = identify(docs, net, "text", tuple(docs.columns))
-    return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    told = identify(_packed(docs), net, "text", ("document", "text"))
+    return _unpacked(told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,16 +64,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark windows."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = contamination(docs, benchmark).where("contaminated").select("doc_id").distinct()
-    return docs.join(stage(hit, "contaminated"), "doc_id", "left_anti")
+    hit = stage(contamination(docs, benchmark).where("contaminated").select("doc_id", "text_md5").distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(hit["doc_id"]) & (F.md5(docs["text"]) == hit["text_md5"])
+    return docs.join(hit, same, "left_anti")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a mark in place of each secret."""
-    found = scan(docs)
-    text = redact(F.col("text"), F.col("secret_spans"))
-    return found.withColumn("text", text).withColumn("n_chars", F.when(
-        F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    found = scan(_packed(docs))
+    found = found.withColumn("text", redact(F.col("text"), F.col("secret_spans")))
+    n_chars = F.when(F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("document.n_chars"))
+    return _unpacked(found, docs.columns, n_chars=n_chars)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -196,9 +196,9 @@ def _tokens(text_col: str, size: int):
 
 
 def _cold_prefix(id_col: str, text_col: str, size: int, hot, threshold: int):
-    """Task function: size of each set, its number of hot shingles and the first
-    of the others by hash: as many as must hold a shared one, if a similar
-    enough set shares any of them."""
+    """Task function: size of each set, its number of hot shingles, two sums over
+    their hashes (a fingerprint of its hot part) and the first of the others by hash:
+    as many as must hold a shared one, if a similar enough set shares any of them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = hot.value
@@ -209,11 +209,14 @@ def _cold_prefix(id_col: str, text_col: str, size: int, hot, threshold: int):
             before = np.concatenate(([0], np.cumsum(cold)))
             owner = np.repeat(np.arange(len(n)), n)
             need = n - -(-threshold * n // 100) + 1
+            sums = [np.concatenate(([np.uint64(0)], np.cumsum(np.where(cold, np.uint64(0), mix(s + np.uint64(c))))))
+                    for c in (0x51, 0xA7)]
             first = cold & (before[:-1] - before[at[owner]] < need[owner])
             offsets = np.concatenate(([0], np.cumsum(first)))[at]
             yield from pa.table({
                 "id": block[id_col], "n": pa.array(n.astype(np.int64)),
                 "h": pa.array((n - np.diff(before[at])).astype(np.int64)),
+                **{f"hot{k}": pa.array((c[at[1:]] - c[at[:-1]]).astype(np.int64)) for k, c in enumerate(sums)},
                 "prefix": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(s[first].view(np.int64))),
             }).to_batches()
 
@@ -230,8 +233,11 @@ def _rest_pairs(docs: DataFrame, rest: DataFrame, id_col: str, text_col: str, si
     hot, the pair meets there (a shingle that is not hot has at most ``hot``
     texts, so these pairs grow with the texts). If it is, they share hot ones
     only; then ``(100 + threshold) * h >= threshold * (n + other n)`` for both,
-    which few texts meet that the stars have not joined, and those are paired
-    inside their buckets.
+    which few texts meet that the stars have not joined. Of the members of a bucket
+    with one and the same hot part, the smallest shares as much with any text as the
+    others do, and so links wherever one of them links over hot shingles: each
+    member is paired with the smallest member of each hot part of its buckets. If x
+    and y link, so do x and y's smallest, y and x's smallest, and those two.
     """
     spark = docs.sparkSession
     label = stage(rest.select(F.col("rep").alias("id"), "component").distinct(), "rest-ids")
@@ -243,7 +249,7 @@ def _rest_pairs(docs: DataFrame, rest: DataFrame, id_col: str, text_col: str, si
     known = often.where(F.col("c") > hot).select("s").toArrow()["s"].to_numpy().view(np.uint64)
     known = spark.sparkContext.broadcast(np.sort(known))
     text = stage(texts.mapInArrow(_cold_prefix(id_col, text_col, size, known, threshold),
-                                  "id long, n long, h long, prefix array<long>")
+                                  "id long, n long, h long, hot0 long, hot1 long, prefix array<long>")
                  .where("n > 0").join(small(label, 1_000_000), "id"), "rest-prefixes")
     near = F.expr(f"100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)") & F.expr("x.component <> y.component")
     # at most ``hot`` texts for each shingle
@@ -262,9 +268,10 @@ def _rest_pairs(docs: DataFrame, rest: DataFrame, id_col: str, text_col: str, si
     able = able.join(least, "key").where(F.col("reach") >= threshold * F.col("least")).drop("least")
     several = able.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     able = stage(able.join(several.select("key"), "key", "left_semi"), "rest-hot")
-    both = (able.alias("x").join(able.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr("x.rep < y.rep") & near
-                                 & F.expr(f"x.reach >= {threshold} * y.n AND y.reach >= {threshold} * x.n"))
-            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")))
+    heads = able.groupBy("key", "hot0", "hot1").agg(F.min(F.struct("n", "rep", "reach", "component")).alias("y"))
+    both = (able.alias("x").join(heads, "key").where(F.expr("x.rep <> y.rep") & near
+            & F.expr(f"x.reach >= {threshold} * y.n AND y.reach >= {threshold} * x.n"))
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
     return met.union(both).distinct()
 
 

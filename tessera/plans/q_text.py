@@ -202,7 +202,7 @@ def _doc_ads(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     n_parts = p.count()
-    return d.join(p, p.p_partkey == d.doc_id % F.lit(n_parts)).select(
+    return d.join(p, p.p_partkey == d.doc_id % F.lit(n_parts), "left").select(
         F.col("doc_id").alias("item_id"), F.col("text").alias("description"),
         F.col("p_name").alias("title"), F.col("lang").alias("param_1"),
         F.col("source").alias("param_2"), F.lit(None).cast("string").alias("param_3"))
@@ -210,7 +210,7 @@ def _doc_ads(spark, sf_dir):
 
 DOC_ADS_SQL = """SELECT d.doc_id AS item_id, d.text AS description, p.p_name AS title,
   d.lang AS param_1, d.source AS param_2, CAST(NULL AS VARCHAR) AS param_3
-FROM documents d JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part)"""
+FROM documents d LEFT JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part)"""
 
 PREP_SQL = """SELECT item_id, coalesce(description, 'nan') AS description,
   concat_ws(' ', coalesce(param_1, 'nan'), coalesce(param_2, 'nan'), coalesce(param_3, 'nan')) AS text_feat,

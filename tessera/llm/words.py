@@ -7,6 +7,7 @@ inside Spark tasks (``mapInArrow``); blocks are cut by size, never texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -177,11 +178,21 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is reused by the tasks of later
+    stages, which would pile up what each of them left in its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str,
            limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
     """Regroup record batches into tables whose ``column`` holds about ``limit``
     bytes (one row at least); no row is dropped or cut."""
     held, size = [], 0
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -199,5 +210,6 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str,
             if size >= limit or begin < batch.num_rows:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+                give_back()
     if held:
         yield pa.Table.from_batches(held)

@@ -10,10 +10,13 @@ partition, so its broadcast is bounded by the partition count, not the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
 
@@ -56,17 +59,28 @@ def with_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos
 
 def running_total(df: DataFrame, order: Sequence[str | Column], amount: str, name: str,
                   num_partitions: int | None = None) -> DataFrame:
-    """Add the sum of ``amount`` over all rows before each row in the order ``order``
-    (a total order). Sums inside range partitions, plus the sums of those before."""
+    """Add the sum of ``amount`` (whole numbers) over all rows before each row in the
+    order ``order`` (a total order). Each task adds up its sorted range as it passes, and
+    the sums of the ranges before come on top; the rows are shuffled once."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = _cols(order)
-    staged = materialize(df.repartitionByRange(n, *ordered).withColumn(_PID, F.spark_partition_id()))
-    here = Window.partitionBy(_PID).orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    place = df.columns.index(amount)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = 0
+        for batch in batches:
+            v = batch.column(place).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = np.cumsum(v) + carried
+            yield batch.append_column("__in", pa.array(upto - v))
+            carried = int(upto[-1]) if len(upto) else carried
+
+    ranges = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered).withColumn(_PID, F.spark_partition_id())
+    staged = materialize(ranges.mapInArrow(add_up, StructType([*ranges.schema, StructField("__in", LongType())])))
     sums = staged.groupBy(_PID).agg(F.sum(amount).alias("__n"))
     offsets = sums.select(_PID, (F.sum("__n").over(Window.orderBy(_PID)) - F.col("__n")).alias(_OFF))
     # one row per range partition: bounded by the partition count
-    return (staged.withColumn("__in", F.coalesce(F.sum(amount).over(here), F.lit(0))).join(F.broadcast(offsets), _PID)
+    return (staged.join(F.broadcast(offsets), _PID)
             .select(*df.columns, (F.col(_OFF) + F.col("__in")).alias(name)))
 
 

@@ -32,12 +32,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 
 # Language codes of the documents and the stop-word list names.
 LANGUAGE_NAMES = {"en": "english", "fr": "french", "de": "german", "es": "spanish",
                   "ru": "russian"}
 
 
+#: Terms of a vocabulary that goes to the tasks.
+BROADCAST_TERMS = 200_000
+
+
 @functools.lru_cache(maxsize=None)
 def stop_words(language: str) -> tuple[str, ...]:
     """Spark's bundled default stop-word list for ``language`` (the same list
@@ -260,19 +265,24 @@ def feature_union(df: DataFrame, row_key: str, fields: Mapping[str, dict]) -> Da
     # tokens are a column before n-grams are built (see ``Analyzer``)
     staged = df.repartition(n, row_key).select(row_key, *[analyzers[f].tokens.alias(f"__{k}") for k, f in enumerate(names)])
 
-    def tagged(k: int):
-        return lambda t: F.struct(F.lit(k).alias("field"), t.alias("term"))
+    lists = F.array(*[F.struct(F.lit(k).alias("field"), ngrams(F.col(f"__{k}"), analyzers[f].ngram_max).alias("terms"))
+                      for k, f in enumerate(names)])
+    tf = (staged.select(row_key, F.explode(lists).alias("l")).select(row_key, "l.field", F.explode_outer("l.terms").alias("term"))
+          .where(F.col("term").isNotNull()).groupBy(row_key, "field", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        # one row for each different term: the texts are not read again for each field
+        return materialize(rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")))
 
-    terms = F.concat(*[F.transform(ngrams(F.col(f"__{k}"), analyzers[f].ngram_max), tagged(k)) for k, f in enumerate(names)])
-    tf = (staged.select(row_key, terms.alias("__terms")).select(row_key, F.explode_outer("__terms").alias("t"))
-          .where(F.col("t").isNotNull()).groupBy(row_key, F.col("t.field").alias("field"), F.col("t.term").alias("term"))
-          .agg(F.count(F.lit(1)).alias("tf")))
-    vocab = None
+    whole, vocab = None, None
     for k, (f, spec) in enumerate(fields.items()):
-        rows, fit = spec.get("fit_rows"), tf.where(F.col("field") == k)
-        if rows is not None:
-            fit = fit.join(df.where(rows).select(row_key), row_key, "left_semi")
-        kept = top_vocabulary(min_df_filter(document_frequency(fit), spec.get("min_df")), spec.get("max_features"))
+        rows = spec.get("fit_rows")
+        if rows is None:
+            whole = counted(tf) if whole is None else whole
+        stats = whole if rows is None else counted(
+            tf.where(F.col("field") == k).join(df.where(rows).select(row_key), row_key, "left_semi"))
+        stats = stats.where(F.col("field") == k).drop("field")
+        kept = top_vocabulary(min_df_filter(stats, spec.get("min_df")), spec.get("max_features"))
         n_docs = (df if rows is None else df.where(rows)).count()
         if spec["kind"] == "count":
             idf = F.lit(1.0)
@@ -282,6 +292,9 @@ def feature_union(df: DataFrame, row_key: str, fields: Mapping[str, dict]) -> Da
             idf = F.log(F.lit(float(n_docs)) / F.col("df")) + F.lit(1.0)
         part = kept.select(F.lit(k).alias("field"), "term", idf.alias("idf"))
         vocab = part if vocab is None else vocab.unionByName(part)
+    vocab = materialize(vocab)
+    if vocab.count() <= BROADCAST_TERMS:  # counted: the token stream is not shuffled by term
+        vocab = F.broadcast(vocab)
     sublinear = [k for k, s_ in enumerate(fields.values()) if s_["kind"] == "tfidf" and s_.get("sublinear_tf", True)]
     normed = [k for k, s_ in enumerate(fields.values()) if s_["kind"] == "tfidf" and s_.get("norm", True)]
     count = F.when(F.col("field").isin(sublinear), F.lit(1.0) + F.log(F.col("tf"))).otherwise(F.col("tf").cast("double"))

@@ -96,3 +96,13 @@ def test_pipeline_rows_and_columns(spark):
     assert "hunter2" not in row["text"] and row["n_chars"] == len(row["text"])
     assert P.mixing(spark, safe, SF).count() > 0
     assert P.near_dedup(spark, docs, SF).columns == docs.columns
+
+
+def test_secret_counts_by_kind(spark, tmp_path):
+    """Each count is of its own kind, wherever its spans stand in the list."""
+    texts = {1: "AKIAABCDEFGHIJKL", 2: "secret=x1y2z3w4 then " + "0f" * 16, 3: "0f" * 16 + " " + "a0" * 16 + " token: abcdefgh1",
+             4: "AKIAABCDEFGHIJKL AKIAABCDEFGHIJKM passwd='12345678'", 5: "password=short", 6: None}
+    spark.createDataFrame([(i, t, "en", "s") for i, t in texts.items()], "doc_id long, text string, lang string, source string"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_assign"], r["n_access"], r["n_hex"]) for r in E.queries()["op6_secret_scan"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 1, 0), 2: (1, 0, 1), 3: (1, 0, 2), 4: (1, 2, 0), 5: (0, 0, 0), 6: (0, 0, 0)}

@@ -398,3 +398,20 @@ def test_svd(spark):
     assert np.allclose(s, want[:3]) and got.shape == (12, 3) and not got[4].any()
     assert np.allclose(np.abs(got), np.abs(u[:, :3] * want[:3]), atol=1e-6)
     assert np.allclose(got.T @ got, np.diag(want[:3] ** 2), atol=1e-6)
+
+
+@pytest.mark.parametrize("name, features", [("predict_clip", 10), ("model_save_load", 9)])
+def test_predictions_come_from_the_whole_model(spark, name, features):
+    """Ten rounds over the design matrix (with text where it is in), the test rows whole."""
+    from tessera.plans import QUERIES
+    from tessera.plans.registry import ads
+    with mock.patch.object(M, "predict_clipped", wraps=M.predict_clipped) as seen:
+        rows = QUERIES[name](spark, SF).collect()
+    n = ads(spark, SF).where("split = 'test'").count()
+    for call in seen.call_args_list:
+        model = call.args[0]
+        assert model.getNumTrees == 10 and model.numFeatures >= features and call.args[1].count() == n
+    if name == "predict_clip":
+        assert len(rows) == n and all(r["in_bounds"] for r in rows)
+    else:
+        assert [tuple(r) for r in rows] == [(n, 0)]

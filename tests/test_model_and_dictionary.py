@@ -415,3 +415,17 @@ def test_predictions_come_from_the_whole_model(spark, name, features):
         assert len(rows) == n and all(r["in_bounds"] for r in rows)
     else:
         assert [tuple(r) for r in rows] == [(n, 0)]
+
+
+def test_folds_at_a_time(spark):
+    """Folds fitted beside each other give the curve of folds fitted in turn."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(float(a), float(b), float(a > 0.3) + float(b) / 3, k % 5) for k, (a, b) in enumerate(rng.random((300, 2)))],
+                               "a double, b double, label double, fold int")
+    mat = M.design_matrix(df, ["a", "b"])[0]
+    folds = [(mat.where(F.col("fold") != k), mat.where(F.col("fold") == k)) for k in range(5)]
+    est = M.gbt(max_iter=4, max_depth=2)
+    best, curve = M.cv_rounds(iter(folds), est, parallelism=4)
+    assert (best, curve) == M.cv_rounds(folds, est)
+    each = [est.fit(a).evaluateEachIteration(b, "squared") for a, b in folds]
+    assert curve == pytest.approx([sum(x) / 5 for x in zip(*each)])

@@ -129,8 +129,9 @@ def _piece_mapper(fn):
 
 def write_chunks(results: DataFrame, path: str) -> None:
     """Persist finished chunks, one folder per chunk (append: a rerun adds the
-    chunks it finished)."""
-    results.write.mode("append").partitionBy("chunk").parquet(path)
+    chunks it finished). A chunk's rows meet in one task: one file for each chunk, not
+    one for each chunk and task."""
+    _by_chunk(results).write.mode("append").partitionBy("chunk").parquet(path)
 
 
 def done_chunks(spark, path: str) -> DataFrame:
@@ -221,17 +222,25 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: Sequence[str
     dictionary; a value that is mapped to null is one.
 
     A dictionary of ``SMALL`` characters or fewer (counted) goes to the tasks, and the
-    rows stay where they are. A larger one is met in one shuffled join by the cells of
-    all columns, which find their row again by ``row_key`` (unique in ``df``; without
-    it, one join a column); the join can split a value that a third of the cells have.
+    rows stay where they are. Of a larger one, each column gets the part that its own
+    different values need, if that has ``SMALL`` characters or fewer. The cells of the
+    other columns meet the dictionary in one shuffled join and find their row again by
+    ``row_key`` (unique in ``df``; without it, one join a column); the join can split a
+    value that a third of the cells have.
     """
     d = dictionary.select("value", "mapped")
     if strict:
         used = F.explode(F.array_distinct(F.array(*[F.col(c).cast("string") for c in columns])))
-        n = df.select(used.alias("value")).where("value IS NOT NULL").join(d, "value", "left_anti").count()
+        # counted before the join: a value is met once, however many rows have it
+        counts = df.select(used.alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        n = counts.join(d, "value", "left_anti").agg(F.sum("n")).first()[0]
         if n:
             raise KeyError(f"{n} values are missing from the dictionary")
-    size = d.agg(F.sum(F.coalesce(F.length("value"), F.lit(0)) + F.coalesce(F.length("mapped"), F.lit(0)) + 32)).first()[0] or 0
+
+    def characters(t: DataFrame) -> DataFrame:
+        return t.agg(F.sum(F.coalesce(F.length("value"), F.lit(0)) + F.coalesce(F.length("mapped"), F.lit(0)) + 32).alias("n"))
+
+    size = characters(d).first()[0] or 0
     if size <= SMALL or row_key is None:
         out = df
         d = F.broadcast(d) if size <= SMALL else d
@@ -239,10 +248,22 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: Sequence[str
             lookup = d.withColumnsRenamed({"value": c, "mapped": f"{c}{suffix}"})
             out = out.join(lookup, c, "left")
         return out
-    cells = df.select(row_key, F.posexplode(F.array(*[F.col(c).cast("string") for c in columns])).alias("__at", "value"))
-    found = cells.where("value IS NOT NULL").join(d, "value").groupBy(row_key).agg(*[
-        F.max(F.when(F.col("__at") == k, F.col("mapped"))).alias(f"{c}{suffix}") for k, c in enumerate(columns)])
-    return df.join(found, row_key, "left")
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("at"), F.col(c).cast("string").alias("value"))
+                                          for k, c in enumerate(columns)])).alias("cell")).select("cell.*")
+    parts = materialize(cells.where("value IS NOT NULL").distinct().join(d, "value").groupBy("at", "value").agg(
+        F.max("mapped").alias("mapped")))
+    large = {r["at"] for r in characters(parts.groupBy("at")).collect() if r["n"] > SMALL}
+    out, met = df, [c for k, c in enumerate(columns) if k in large]
+    for k, c in enumerate(columns):
+        if k not in large:
+            part = parts.where(F.col("at") == k).select(F.col("value").alias("__value"), F.col("mapped").alias(f"{c}{suffix}"))
+            out = out.join(F.broadcast(part), F.col(c).cast("string") == F.col("__value"), "left").drop("__value")
+    if met:
+        cells = df.select(row_key, F.posexplode(F.array(*[F.col(c).cast("string") for c in met])).alias("__at", "value"))
+        found = cells.where("value IS NOT NULL").join(d, "value").groupBy(row_key).agg(*[
+            F.max(F.when(F.col("__at") == k, F.col("mapped"))).alias(f"{c}{suffix}") for k, c in enumerate(met)])
+        out = out.join(found, row_key, "left")
+    return out.select(*df.columns, *[f"{c}{suffix}" for c in columns])
 
 
 def untranslated(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.stand_in import mark_translation, rerun_translation
 from ..operators import dictionary as D
 from ..session import scratch_path
+from .fixtures import with_description
 from .q_text import wrap_ctes
 from .registry import ads, query, sql, table
 
@@ -139,14 +140,15 @@ FROM ads LEFT JOIN wrapped ON wrapped.text = ads.description""",
                   ("d", "SELECT DISTINCT text FROM documents"), *wrap_ctes("d", "text")))
 def q_apply_all(spark, sf_dir):
     """The eight short columns and the long one, in one lookup: their dictionaries are
-    one table (long texts by their digest, so that no text travels with its cells)."""
-    a = ads(spark, sf_dir, text=True).select("item_id", *COLUMNS, F.md5("description").alias("description"))
+    one table. Texts are stored mapped; keys and mappings of the long ones are looked up by
+    their digest, so that no text travels with its ads."""
+    a = with_description(spark, sf_dir, ads(spark, sf_dir), digest=True).select("item_id", *COLUMNS, "description")
     texts = D.chunk_values(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"], 130, order="doc_id")
     long = D.apply_to_long_text(texts, stand_in, 1000).select(F.md5("value").alias("value"), "mapped", "chunk", "ok")
-    long = D.stored(long, scratch_path(spark, "dictionary")).select("value", "mapped")
+    long = D.stored(long, scratch_path(spark, "dictionary")).select("value", F.md5("mapped").alias("mapped"))
     short = D.stored(D.apply_to_chunks(_chunks(spark, sf_dir), stand_in), scratch_path(spark, "dictionary"))
     out = D.apply_dictionary(a, short.select("value", "mapped").union(long), [*COLUMNS, "description"], row_key="item_id")
-    return out.select("item_id", *[f"{c}_en" for c in COLUMNS], F.md5("description_en").alias("description_en_md5"))
+    return out.select("item_id", *[f"{c}_en" for c in COLUMNS], F.col("description_en").alias("description_en_md5"))
 
 
 @query("untranslated_values", "A31",

@@ -12,7 +12,7 @@
 4. Each pair is confirmed on the full shingle sets; confirmed links give
    components (alternating large and small stars).
 5. Buckets that still hold several components send stars from the best centre
-   outside the first centre's component, until a round joins nothing more.
+   outside the first centre's component too.
 6. Buckets that hold several components even without those two centres are
    finished exactly (``_rest_pairs``): of their members, each pair that can be
    similar enough is confirmed, whoever the centres were.
@@ -172,7 +172,8 @@ def _confirm(threshold: int):
 
 def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, size: int,
               threshold: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose full shingle sets are similar enough."""
+    """The pairs (a, b) of ``pairs`` whose full shingle sets are similar enough (a pair
+    more than once, if a document has versions)."""
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
     # counted: up to 16 MB of ids or pairs travel to the tasks, instead of all texts or sets
     sets = stage(docs.join(small(ids, 2_000_000), docs[id_col] == ids["id"], "left_semi")
@@ -181,7 +182,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, siz
     sides = [sets.join(small(pairs, 1_000_000), sets["id"] == pairs[k])
              .select("a", "b", F.col("shingles").alias(side)) for k, side in (("a", "left"), ("b", "right"))]
     links = stage(sides[0].join(sides[1], ["a", "b"]).select("a", "b", "left", "right")
-                  .mapInArrow(_confirm(threshold), "a long, b long").distinct(), "links")
+                  .mapInArrow(_confirm(threshold), "a long, b long"), "links")
     discard(sets)
     return links
 
@@ -280,31 +281,47 @@ def components(edges: DataFrame) -> DataFrame:
     the smallest id reachable, for the ids that have an edge.
 
     Alternating large-star and small-star steps (both are a minimum per node and
-    a join back), each on a written table, until a step changes nothing.
+    a join back), each on a written table, until a step changes nothing. Every edge
+    becomes one edge, so repeated ones need no shuffle of their own.
     """
     now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .where("a <> b").distinct(), "edges")
-    before = None
+                .where("a <> b"), "edges")
+    mark = (now.count(), None)
     while True:
+        before = mark
+        # counted: up to 16 MB of minima travel to the tasks, instead of a shuffle of all edges
+        hint = F.broadcast if before[0] <= 500_000 else lambda df: df
         # large star: every larger neighbour of a node moves to its smallest neighbour
         both = now.union(now.select("b", "a")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        large = (both.join(hint(low), "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")))
         # small star: every smaller neighbour and the node itself do
-        large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        now = stage(large.join(low, "a")
-                    .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-                                              F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
-                    .select("e.*").where("a <> b").distinct(), "edges")
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = stage(large.join(hint(low), "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
+                                                      F.col("m").alias("b")), "edges")
+        mark = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == before:
             break
-        before = mark
     return (now.select(F.col("a").alias("id"), F.col("b").alias("component"))
             .union(now.select("b", "b")).distinct())
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``label`` (id, component) after ``links`` (a, b) between them, whose
+    ends may be ids without one: only the components that they join are worked on."""
+    known = small(label, 1_000_000)
+    ends = links
+    for end in ("a", "b"):
+        ends = (ends.join(known.toDF(end, "c"), end, "left")
+                .withColumn("c", F.coalesce("c", end)).drop(end).withColumnRenamed("c", end))
+    ends = stage(ends.select("a", "b"), "joined")
+    merged = stage(components(ends), "components")
+    to = small(merged, 1_000_000).toDF("component", "to")
+    kept = label.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    new = merged.join(label.select("id"), "id", "left_anti")
+    return stage(kept.union(new), "components")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     size: int = 5, threshold: int = 75, bands: int = BANDS,
                     rows: int = ROWS, hot: int = HOT) -> DataFrame:
@@ -334,46 +351,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # how many bucket mates a text has over all bands: the centre has most
     score = bucket.groupBy("rep").agg(F.sum("m").alias("score"))
     bucket = stage(bucket.join(score, "rep").select("key", "rep", "n", "score"), "buckets")
-    links, label, tested = None, None, None
-    while True:
-        if label is None:
-            held = bucket.withColumn("component", F.col("rep"))
-        else:
-            held = (bucket.join(label.withColumnRenamed("id", "rep"), "rep", "left")
-                    .withColumn("component", F.coalesce("component", "rep")))
-        # the centre: most bucket mates, then the smallest id
-        best = F.max_by(F.struct("rep", "n", "component"), F.struct("score", -F.col("rep")))
-        centre = held.groupBy("key").agg(best.alias("c"))
-        if label is not None:
-            # the best member outside the first centre's component
-            centre = (held.join(centre, "key").where("component <> c.component")
-                      .groupBy("key").agg(best.alias("c")))
-        near = (100 * F.least("n", "c.n") >= threshold * F.greatest("n", "c.n"))
-        pairs = (held.join(centre, "key").where(near & (F.col("component") != F.col("c.component")))
-                 .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"))
-                 .distinct())
+    # the centre: most bucket mates, then the smallest id
+    best = F.max_by(F.struct("rep", "n"), F.struct("score", -F.col("rep")))
+    near = (100 * F.least("n", "c.n") >= threshold * F.greatest("n", "c.n"))
+
+    def pairs_with_centre(held: DataFrame, tested: DataFrame | None = None) -> DataFrame:
+        pairs = (held.where(near & (F.col("rep") != F.col("c.rep")))
+                 .select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).distinct())
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = confirmed(docs, pairs, id_col, text_col, size, threshold)
-        none = found.isEmpty()
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        if none and label is not None:
-            break
-        label = stage(components(links), "components")
-    # both centres of the last round have met all; the others of a bucket not yet
-    first = held.groupBy("key").agg(best.alias("c"))
-    second = (held.join(first, "key").where("component <> c.component").groupBy("key").agg(best.alias("d")))
-    rest = held.join(first, "key").join(second, "key").where("rep <> c.rep AND rep <> d.rep")
+            pairs = pairs.join(small(tested, 1_000_000), ["a", "b"], "left_anti")
+        return stage(pairs, "pairs")
+
+    def labelled(held: DataFrame, label: DataFrame, rep: str, component: str) -> DataFrame:
+        known = small(label, 1_000_000).toDF("id", component)
+        return (held.join(known, held[rep] == known["id"], "left")
+                .withColumn(component, F.coalesce(component, rep)).drop("id"))
+
+    bucket = stage(bucket.join(bucket.groupBy("key").agg(best.alias("c")), "key"), "buckets")
+    first = pairs_with_centre(bucket)
+    label = stage(components(confirmed(docs, first, id_col, text_col, size, threshold)), "components")
+    # the best member outside the first centre's component meets the members outside its own
+    bucket = bucket.select("key", "rep", "n", "score", F.col("c.rep").alias("c_rep"))
+    held = labelled(labelled(bucket, label, "rep", "component"), label, "c_rep", "c_component")
+    best = F.max_by(F.struct("rep", "n", "component"), F.struct("score", -F.col("rep")))
+    centre = held.where("component <> c_component").groupBy("key").agg(best.alias("c"))
+    bucket = stage(held.join(centre, "key").select("key", "rep", "n", "component", "c_rep", "c"), "buckets")
+    second = pairs_with_centre(bucket.where("component <> c.component"), first)
+    found = confirmed(docs, second, id_col, text_col, size, threshold)
+    if not found.isEmpty():
+        label = _joined(label, found)
+    # both centres have met all; the others of a bucket not yet
+    rest = labelled(bucket.where("rep <> c_rep AND rep <> c.rep").select("key", "rep", "n"), label, "rep", "component")
     several = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = stage(rest.join(several.select("key"), "key", "left_semi").select("key", "rep", "n", "component"), "rest")
     if not rest.isEmpty():
         pairs = _rest_pairs(docs, rest, id_col, text_col, size, threshold, hot)
-        pairs = stage(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = confirmed(docs, pairs, id_col, text_col, size, threshold)
+        for tested in (first, second):
+            pairs = pairs.join(small(tested, 1_000_000), ["a", "b"], "left_anti")
+        found = confirmed(docs, stage(pairs, "pairs"), id_col, text_col, size, threshold)
         if not found.isEmpty():
-            label = stage(components(links.union(found)), "components")
+            label = _joined(label, found)
     result = (member.select("id", "rep").distinct()
               .join(label.withColumnRenamed("id", "rep"), "rep", "left")
               .groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("component_id")))

@@ -187,6 +187,39 @@ def test_near_dedup_hot_passage(spark, hot):
     assert found == {i: want[i] for i in found} and len(set(want.values())) == 140
 
 
+def test_components(spark, monkeypatch):
+    """Random edges, some twice and in both directions, and a long path, each step in few shuffles."""
+    from tessera.llm import near_dedup as N
+    found, shuffles, stage = N.components, [], N.stage
+
+    def counted(df, name, **options):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return stage(df, name, **options)
+
+    monkeypatch.setattr(N, "stage", counted)
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 440)]
+    edges = [(a, b) for a, b in edges if a != b]
+    edges += [(b, a) for a, b in edges[::3]] + edges[::5]
+
+    def smallest(edges):
+        low = {x: x for e in edges for x in e}
+        for _ in low:
+            for a, b in edges:
+                low[a] = low[b] = min(low[a], low[b])
+        return low
+
+    def frame(edges):
+        return spark.createDataFrame(edges, "a long, b long")
+
+    got = found(frame(edges)).collect()
+    assert dict(map(tuple, got)) == smallest(edges) and len(got) == len(smallest(edges))
+    assert max(shuffles) <= 3
+    more = [(rng.randrange(300), rng.randrange(500, 520)) for _ in range(15)] + [(3, 405), (600, 601)]
+    got = N._joined(found(frame(edges)), frame(more)).collect()
+    assert dict(map(tuple, got)) == smallest(edges + more) and len(got) == len(smallest(edges + more))
+
+
 def near_dup(spark, data, hot):
     from tessera.llm.near_dedup import near_duplicates
     found = near_duplicates(table(spark, data), hot=hot)

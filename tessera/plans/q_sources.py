@@ -9,20 +9,25 @@ from pyspark.sql import functions as F
 from ..operators import groups as G
 from ..operators import text as TX
 from ..sources import io
-from ..session import scratch_path
+from ..session import scratch_path, spread
+from .fixtures import with_description
 from .q_text import _grams_sql, _with
 from .registry import ads, query, r6, r6sql, sql, table
 
 ADS_CSV_SCHEMA = ("item_id long, title string, description string, price double, "
                   "activation_date string, user_type string")
+#: Ads in a compressed file.
+ADS_PER_FILE = 20_000
 
 
 def _ads_csv(spark, sf_dir):
+    """The ads with their texts, which repeat, as compressed CSV: a file is one task's
+    to read, so a file holds so many ads at most."""
     path = scratch_path(spark, "ads-csv")
-    a = ads(spark, sf_dir, text=True).select("item_id", "title", "description", "price",
-                                  F.col("activation_date").cast("string").alias("activation_date"),
-                                  "user_type")
-    io.write_csv(a, path)
+    a = with_description(spark, sf_dir, spread(ads(spark, sf_dir)))
+    a = a.select("item_id", "title", "description", "price",
+                 F.col("activation_date").cast("string").alias("activation_date"), "user_type")
+    io.write_csv(a, path, compression="gzip", max_records=ADS_PER_FILE)
     return path
 
 

@@ -66,11 +66,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return df
 
 
-def write_csv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite") -> None:
-    """CSV with a header (``compression='gzip'`` for the submission file)."""
+def write_csv(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite",
+              max_records: int = 0) -> None:
+    """CSV with a header (``compression='gzip'`` for the submission file).
+    ``max_records``: rows of a file, at most (a compressed file is one task's to read)."""
     w = (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"'))
     if compression:
         w = w.option("compression", compression)
+    if max_records:
+        w = w.option("maxRecordsPerFile", max_records)
     w.csv(path)
 
 

@@ -99,3 +99,25 @@ def test_read_csv_uses_it(spark, small_ranges):
     got = io.read_csv(spark, folder, "id long, a string, price double, b string", columns=["id", "a", "b"], dates=["b"])
     assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "string", "date"]
     assert sorted((r["id"], r["a"], str(r["b"])) for r in got.collect()) == [(1, "x\ny", "2020-01-02"), (2, None, "None")]
+
+
+def test_compressed_files_of_few_rows(spark):
+    """Compressed files with line breaks in fields, each of a bounded number of rows."""
+    rows = random_rows(100, 9)
+    folder = tempfile.mkdtemp(prefix="tessera-csv-", dir="/tmp")
+    io.write_csv(spark.createDataFrame(rows, SCHEMA).coalesce(2), folder, compression="gzip", max_records=8)
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert len(files) >= 13 and all(f.endswith(".csv.gz") for f in files)
+    back = io.read_csv(spark, folder, SCHEMA).collect()
+    plain = tempfile.mkdtemp(prefix="tessera-csv-", dir="/tmp")
+    io.write_csv(spark.createDataFrame(rows, SCHEMA), plain)
+    assert sorted(map(tuple, back), key=repr) == sorted(map(tuple, io.read_csv(spark, plain, SCHEMA).collect()), key=repr)
+
+
+def test_ads_csv_is_compressed(spark):
+    """The ads' texts repeat: their CSV is smaller than they are."""
+    from tessera.plans import q_sources
+    path = q_sources._ads_csv(spark, "/root/testdata/sf0.001").removeprefix("file:")
+    written = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
+    back = io.read_csv(spark, path, q_sources.ADS_CSV_SCHEMA, columns=["description"])
+    assert 0 < 2 * written < back.selectExpr("sum(octet_length(description))").first()[0]

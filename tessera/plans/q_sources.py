@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import groups as G
 from ..operators import text as TX
-from ..sources import io
+from ..sources import io, one_file
 from ..session import scratch_path, spread
 from .fixtures import with_description
 from .q_text import _grams_sql, _with
@@ -43,10 +43,10 @@ def q_csv(spark, sf_dir):
 @query("csv_one_file", "S1 S2",
        oracle=sql("SELECT item_id, title, md5(description) AS description_md5, price, user_type FROM ads"))
 def q_csv_one_file(spark, sf_dir):
-    """One large file with line breaks in its texts, read in byte ranges."""
+    """One large file with line breaks in its texts, written and read in byte ranges."""
     path = scratch_path(spark, "ads-csv")
-    a = ads(spark, sf_dir, text=True).select("item_id", "title", "description", "price", "user_type")
-    io.write_csv(a.coalesce(1), path)  # a single file is what is to be read
+    a = with_description(spark, sf_dir, ads(spark, sf_dir), together=True)
+    one_file.write_one_csv(a.select("item_id", "title", "description", "price", "user_type"), path)
     df = io.read_csv(spark, path, "item_id long, title string, description string, price double, user_type string")
     return df.select("item_id", "title", F.md5("description").alias("description_md5"), "price", "user_type")
 

@@ -45,6 +45,9 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 # -- CSV ----------------------------------------------------------------------
 
+CSV = {"quote": '"', "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              columns: Sequence[str] | None = None, dates: Sequence[str] = (),
              date_format: str | None = None, multi_line: bool = True) -> DataFrame:
@@ -70,7 +73,7 @@ def write_csv(df: DataFrame, path: str, compression: str | None = None, mode: st
               max_records: int = 0) -> None:
     """CSV with a header (``compression='gzip'`` for the submission file).
     ``max_records``: rows of a file, at most (a compressed file is one task's to read)."""
-    w = (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"'))
+    w = df.write.mode(mode).option("header", True).options(**CSV)
     if compression:
         w = w.option("compression", compression)
     if max_records:

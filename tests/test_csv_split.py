@@ -121,3 +121,53 @@ def test_ads_csv_is_compressed(spark):
     written = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-"))
     back = io.read_csv(spark, path, q_sources.ADS_CSV_SCHEMA, columns=["description"])
     assert 0 < 2 * written < back.selectExpr("sum(octet_length(description))").first()[0]
+
+
+def test_one_file_of_many_tasks(spark):
+    """The file that one task would write, but for the order of its records."""
+    from tessera.sources import one_file
+    rows = random_rows(300, 10)
+    df = spark.createDataFrame(rows, "id long, `a b` string, price double, `c,d` string").repartition(7, "id")
+    folders = [tempfile.mkdtemp(prefix="tessera-csv-", dir="/tmp") for _ in range(3)]
+    one_file.write_one_csv(df, folders[0])
+    io.write_csv(df.coalesce(1), folders[1])
+    one_file.write_one_csv(df.where("id < 0"), folders[2])  # nothing but a header
+    got, want, none = ([open(os.path.join(d, f), newline="", encoding="utf-8").read() for f in os.listdir(d) if f.endswith(".csv")]
+                       for d in folders)
+    assert len(got) == len(want) == 1 and none == ['id,a b,price,"c,d"\n']
+    assert len(got[0]) == len(want[0]) and got[0].splitlines()[0] == want[0].splitlines()[0]
+    assert sorted(csv.reader(got[0].splitlines(True))) == sorted(csv.reader(want[0].splitlines(True)))
+    assert not [f for f in os.listdir(folders[0]) if f.endswith(".part")]
+
+
+def test_csv_one_file_has_many_writers(spark, monkeypatch):
+    """No task of the query gets all rows of the file."""
+    from tessera.plans import QUERIES, registry
+    from tessera.sources import one_file
+    df = registry.ads(spark, "/root/testdata/sf0.001")
+    seen = []
+
+    def watched(rows, path, write=one_file.write_one_csv):
+        write(rows.select("*"), path)
+        seen.append(path.removeprefix("file:"))
+
+    monkeypatch.setattr(one_file, "write_one_csv", watched)
+    monkeypatch.setattr(type(df), "coalesce", lambda *_: pytest.fail("rows of many tasks given to few"))
+    assert QUERIES["csv_one_file"](spark, "/root/testdata/sf0.001").count() == df.count()
+    assert os.listdir(seen[0]) == [one_file.NAME]
+
+
+def test_places_do_not_depend_on_the_task(spark):
+    """A part's lines written in pieces, in another order and twice."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.sources import one_file
+    lines = ["a", '"é\nb"', "", "cc,d"]
+    with tempfile.NamedTemporaryFile(dir="/tmp") as f:
+        begin = [0, 2, 9, 10]
+        batch = pa.RecordBatch.from_pydict({"part": pa.array([1] * 4, pa.int32()), "begin": begin, "line": lines})
+        starts = type("Known", (), {"value": np.array([0, 3])})
+        for some in ([batch.slice(2), batch.slice(0, 1)], [batch.take(pa.array([1, 0, 2, 3]))]):
+            list(one_file._write_at(f.name, starts)(iter(some)))
+        assert open(f.name, "rb").read() == b"\0\0\0" + ("\n".join(lines) + "\n").encode()

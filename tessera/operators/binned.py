@@ -1,9 +1,9 @@
 """Binned feature matrices and screening from histograms (M8, M9).
 
-1. Cut points: every feature's different values with their row counts (one
-   aggregation, combined map-side) get running totals in order (range partitions, no
-   window over a whole feature); a value's bin is its place among the rows, in
-   ``bins`` equal parts. Equal values share a bin; a feature has at most ``bins``.
+1. Cut points: every feature's different values with their row counts (counted in
+   blocks of rows, column by column, then added up) get running totals in order (range
+   partitions, no window over a whole feature); a value's bin is its place among the
+   rows, in ``bins`` equal parts. Equal values share a bin; a feature has at most ``bins``.
 2. The matrix: a row's features as one small integer each (0: missing), looked up in
    the cut points, which are bounded by features times bins.
 3. Histograms: each task sums (feature, bin, part) over its rows in arrays of fixed
@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,22 +26,47 @@ from .ordinal import running_total
 
 #: Bins of a feature; a bin's number fits into a byte.
 BINS = 32
+#: Rows of a block whose values are counted together.
+COUNT_ROWS = 1 << 16
+#: Codes of a bundle, at most (a code has two bytes).
+CODES = 1 << 12
 
 
-def cells(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature`` (its number), ``value`` of every value that is not missing."""
-    stack = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.col(f"`{c}`").cast("double").alias("value"))
-                                for k, c in enumerate(features)]))
-    return (df.select(stack.alias("c")).select("c.feature", (F.col("c.value") + F.lit(0.0)).alias("value"))
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+def value_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``feature`` (its number), ``value``, ``n``: rows of every value that is not missing."""
+    ship_package(df.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, COUNT_ROWS):
+            for k in range(len(features)):
+                v = block.column(k).to_numpy()
+                value, n = np.unique(v[~np.isnan(v)] + 0.0, return_counts=True)  # -0.0 is 0.0
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), k, np.int32)), pa.array(value), pa.array(n)],
+                                                 ["feature", "value", "n"])
+
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"__{k}") for k, c in enumerate(features)])
+    return (rows.mapInArrow(count, "feature int, value double, n long").groupBy("feature", "value")
+            .agg(F.sum("n").alias("n")))
+
+
+def blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches of a task put together to ``rows`` rows or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def cut_points(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
     """For each feature the smallest value of each of its bins, ascending."""
     if not 1 < bins <= 254:
         raise ValueError("a bin's number must fit into a byte")
-    counts = cells(df, features).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = running_total(counts, ["feature", "value"], "n", "before")
+    placed = running_total(value_counts(df, features), ["feature", "value"], "n", "before")
     size = placed.groupBy("feature").agg(F.min("before").alias("first"), F.sum("n").alias("total"))
     place = F.floor((F.col("before") - F.col("first")) * bins / F.col("total"))
     low = (placed.join(size, "feature").groupBy("feature", place.alias("bin")).agg(F.min("value").alias("low"))
@@ -76,6 +102,65 @@ def bin_values(raw: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, width)
 
 
+@dataclass
+class Bundle:
+    """Features of a block of rows as one column: a row's ``code`` is the column of
+    ``table`` (features, codes) that holds its bins."""
+
+    features: list[int]
+    table: np.ndarray
+    code: np.ndarray
+
+    def joined(self, other: "Bundle") -> "Bundle | None":
+        """Both as one bundle, if the pairs of codes that occur are ``CODES`` or fewer."""
+        width = other.table.shape[1]
+        pair = self.code.astype(np.int64) * width + other.code
+        seen = np.flatnonzero(np.bincount(pair, minlength=1))
+        if len(seen) > CODES:
+            return None
+        number = np.zeros(self.table.shape[1] * width, np.uint16)
+        number[seen] = np.arange(len(seen))
+        return Bundle(self.features + other.features,
+                      np.concatenate((self.table[:, seen // width], other.table[:, seen % width])), number[pair])
+
+
+def bundled(x: np.ndarray, width: int) -> list[Bundle]:
+    """The columns of a block's bins ``x`` (features, rows), each less than ``width``, in
+    few bundles: features that depend on each other share one, then small ones. Which
+    feature is tried where is told by some of the rows; every row has its exact code."""
+    out: list[Bundle] = []
+    step = max(1, x.shape[1] // 8192)
+
+    def dependence(b: Bundle, v: np.ndarray, own: int) -> float:
+        """0: one tells the other, 1: every pair occurs."""
+        code = b.code[::step].astype(np.int64)
+        n, pairs = (np.count_nonzero(np.bincount(c, minlength=1)) for c in (code, code * width + v))
+        least, most = max(n, own), n * own
+        return (pairs - least) / (most - least) if most > least else float(own > 1)
+
+    for k, v in enumerate(x):
+        seen = np.flatnonzero(np.bincount(v, minlength=width))
+        number = np.zeros(width, np.uint16)
+        number[seen] = np.arange(len(seen))
+        alone = Bundle([k], seen[None].astype(np.uint8), number[v])
+        some = v[::step]
+        own = np.count_nonzero(np.bincount(some, minlength=width))
+        for share, i in sorted((dependence(b, some, own), i) for i, b in enumerate(out)):
+            if share > 0.5:
+                out.append(alone)
+                break
+            if both := out[i].joined(alone):
+                out[i] = both
+                break
+        else:
+            out.append(alone)
+    out.sort(key=lambda b: -b.table.shape[1])
+    while len(out) > 1 and out[-1].table.shape[1] * out[-2].table.shape[1] <= CODES:
+        out[-2:] = [out[-2].joined(out[-1])]
+        out.sort(key=lambda b: -b.table.shape[1])
+    return out
+
+
 def histograms(matrix: DataFrame, n_features: int, label: str, holdout: str, bins: int = BINS) -> DataFrame:
     """``feature, bin, nt, st, nh, s1, s2``: of the rows outside the hold-out the number
     and label sum, of those in it number, label sum and sum of squares."""

@@ -8,6 +8,11 @@ several models, at once: each task places its rows in the trees so far and sums
 arrays of fixed size, Spark adds those up. Of two children only the one with fewer rows
 is counted, the other is the parent less its sibling.
 
+The passes read the matrix as blocks of rows (``_blocks``): features that depend on each
+other are one column of codes (``binned.bundled``), which is counted once and then shared
+out to its features; a row's prediction so far is held beside it, for each model, and
+brought forward when a round's trees are grown.
+
 To save passes the frontier is expanded ahead: growth is replayed with the gains known,
 and one pass evaluates all children that the replay made. It is repeated until a replay
 meets no leaf it does not know, so the tree is the one that strict best-first growth
@@ -21,7 +26,8 @@ split is tried with them on either side.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,7 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .binned import BINS, bin_values
+from .binned import BINS, Bundle, bin_values, blocks, bundled
+
+#: Rows of a block.
+BLOCK_ROWS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -82,14 +91,26 @@ class Model:
 def placed(x: np.ndarray, splits: Sequence[Split]) -> np.ndarray:
     """The node that each row ends in; parents come before their children."""
     node = np.zeros(len(x), np.int64)
-    for s in splits:
-        at = np.flatnonzero(node == s.node)
+
+    def left(s: Split, at: np.ndarray) -> np.ndarray:
         v = x[at, s.feature]
-        left = np.where(v == 0, s.missing_left, v <= s.bin)
-        node[at] = np.where(left, s.left[0], s.right[0])
+        return np.where(v == 0, s.missing_left, v <= s.bin)
+
+    for k, at in _ends(len(x), splits, left).items():
+        node[at] = k
     return node
 
 
+def _ends(n: int, splits: Sequence[Split], left: Callable[[Split, np.ndarray], np.ndarray]) -> dict[int, np.ndarray]:
+    """The rows of each end: a split reads the rows of its own node only."""
+    ends = {0: np.arange(n)}
+    for s in splits:
+        at = ends.pop(s.node)
+        go = left(s, at)
+        ends[s.left[0]], ends[s.right[0]] = at[go], at[~go]
+    return ends
+
+
 def best_split(node: int, n: np.ndarray, s: np.ndarray, least: int, children: tuple[int, int],
                allowed: tuple[int, ...] | None = None) -> Split | None:
     """The split of a leaf with histogram ``n``, ``s`` (features, bins + 1) that lowers
@@ -179,7 +200,13 @@ class _Growth:
 
     def paths(self) -> list[Split]:
         """All splits above the wanted nodes, parents first."""
-        return [s for _, s in sorted((n, s) for n, s in self.split.items() if s)] if self.wanted != [0] else []
+        above = {c[0]: s for s in self.split.values() if s for c in (s.left, s.right)}
+        found: dict[int, Split] = {}
+        for node in self.wanted:
+            while node in above and above[node].node not in found:
+                found[above[node].node] = above[node]
+                node = above[node].node
+        return [found[n] for n in sorted(found)]
 
     def tree(self) -> Tree:
         """Residual means as leaf values."""
@@ -190,35 +217,113 @@ class _Growth:
         return Tree(self.splits, {k: s / n if n else 0.0 for k, (n, s) in ends.items()})
 
 
+_BLOCK = "layout binary, codes binary, label binary, predicted binary"
+
+
+@dataclass
+class _Block:
+    """Rows of a task: the bundles of their bins, labels, and each model's predictions."""
+
+    bundles: list[Bundle]
+    label: np.ndarray
+    predicted: np.ndarray
+
+    def __post_init__(self):
+        self.place = {f: (k, row) for k, b in enumerate(self.bundles) for row, f in enumerate(b.features)}
+
+    def left(self, s: Split, at: np.ndarray) -> np.ndarray:
+        k, row = self.place[s.feature]
+        v = self.bundles[k].table[row]
+        return np.where(v == 0, s.missing_left, v <= s.bin)[self.bundles[k].code[at]]
+
+    def record(self) -> pa.RecordBatch:
+        layout = pickle.dumps([(b.features, b.table) for b in self.bundles])
+        codes = np.stack([b.code for b in self.bundles])
+        return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary()) for raw in (
+            layout, codes.tobytes(), self.label.tobytes(), self.predicted.tobytes())], ["layout", "codes", "label", "predicted"])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            layout, codes, label, predicted = (batch.column(j)[k].as_py() for j in range(4))
+            y = np.frombuffer(label)
+            columns = np.frombuffer(codes, np.uint16).reshape(-1, len(y))
+            parts = [Bundle(f, t, c) for (f, t), c in zip(pickle.loads(layout), columns, strict=True)]
+            yield _Block(parts, y, np.frombuffer(predicted).reshape(-1, len(y)))
+
+
+def _blocks(rows: DataFrame, n_rows: int, n_features: int, bins: int, models: Sequence[Model]) -> DataFrame:
+    """``rows`` (``n_rows`` of bins and label) as blocks, with the models' first
+    predictions. Two tasks a core if they have few blocks: a task adds its blocks up."""
+    start = [m.start for m in models]
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-n_rows // (4 * BLOCK_ROWS)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, BLOCK_ROWS):
+            x = np.concatenate([bin_values(c, n_features) for c in block.column(0).chunks])
+            y = block.column(1).to_numpy().astype(float)
+            yield _Block(bundled(np.ascontiguousarray(x.T), bins + 1), y, np.repeat(np.array(start)[:, None], len(y), 1)).record()
+
+    return rows.coalesce(tasks).mapInArrow(work, _BLOCK)
+
+
+def _advanced(matrix: DataFrame, models: Sequence[Model]) -> DataFrame:
+    """The blocks with the predictions that the models' last trees make."""
+    last = [(m.rate, m.trees[-1]) for m in models]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _read(batches):
+            p = block.predicted.copy()
+            for m, (rate, tree) in enumerate(last):
+                for node, at in _ends(len(block.label), tree.splits, block.left).items():
+                    p[m, at] += rate * tree.values[node]
+            yield _Block(block.bundles, block.label, p).record()
+
+    return matrix.mapInArrow(work, _BLOCK)
+
+
 def _pass(matrix: DataFrame, n_features: int, bins: int, models: list[Model], growths: list[_Growth]):
-    """Histograms of all wanted nodes: for each model node -> (n, s)."""
+    """Histograms of all wanted nodes: for each model node -> (n, s). A model's features
+    are counted, and the first one, which tells a node's rows."""
     spark = matrix.sparkSession
-    task = spark.sparkContext.broadcast([(m, g.paths(), g.wanted) for m, g in zip(models, growths, strict=True)])
+    task = spark.sparkContext.broadcast([
+        (None if m.allowed is None else {0, *m.allowed}, g.paths(), g.wanted) for m, g in zip(models, growths, strict=True)])
     width = bins + 1
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros((2, len(w), n_features, width)) for _, _, w in task.value]
-        for batch in batches:
-            x = bin_values(batch.column(0), n_features)
-            y = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            for (model, splits, wanted), total in zip(task.value, sums, strict=True):
+        sums = [np.zeros((len(w), 2, n_features * width)) for _, _, w in task.value]
+        for block in _read(batches):
+            for m, ((allowed, splits, wanted), total) in enumerate(zip(task.value, sums, strict=True)):
                 if not wanted:
                     continue
-                slot = np.full(max([0, *wanted, *(c[0] for s in splits for c in (s.left, s.right))]) + 1, -1)
-                slot[wanted] = np.arange(len(wanted))
-                at = slot[placed(x, splits)]
-                rows = np.flatnonzero(at >= 0)
-                residual = y[rows] - model.predict(x[rows])
-                for k in range(n_features):
-                    cell = at[rows] * width + x[rows, k]
-                    total[0, :, k] += np.bincount(cell, minlength=len(wanted) * width).reshape(-1, width)
-                    total[1, :, k] += np.bincount(cell, residual, len(wanted) * width).reshape(-1, width)
+                residual = block.label - block.predicted[m]
+                parts = []
+                for b in block.bundles:
+                    used = [row for row, f in enumerate(b.features) if allowed is None or f in allowed]
+                    if used:
+                        # the cells (feature, bin) of each code
+                        parts.append((b.code, b.table.shape[1], b.table[used] + np.array(b.features)[used, None] * width))
+                ends = _ends(len(residual), splits, block.left)
+                for k, node in enumerate(wanted):
+                    at = ends[node]
+                    if not len(at):
+                        continue
+                    r = residual[at]
+                    for code, size, cells in parts:
+                        c = code[at].astype(np.int64)
+                        n = np.bincount(c, minlength=size)
+                        used = np.flatnonzero(n)
+                        cell = cells[:, used].ravel()
+                        for j, v in enumerate((n, np.bincount(c, r, size))):
+                            total[k, j] += np.bincount(cell, np.tile(v[used], len(cells)), n_features * width)
         for m, total in enumerate(sums):
-            used = np.flatnonzero(total[0].ravel())
+            n, s = total[:, 0].ravel(), total[:, 1].ravel()
+            used = np.flatnonzero(n)
             if len(used):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(used), m, np.int32)), pa.array(used), pa.array(total[0].ravel()[used]),
-                     pa.array(total[1].ravel()[used])], ["model", "cell", "n", "s"])
+                    [pa.array(np.full(len(used), m, np.int32)), pa.array(used), pa.array(n[used]), pa.array(s[used])],
+                    ["model", "cell", "n", "s"])
 
     got = (matrix.mapInArrow(work, "model int, cell long, n double, s double").groupBy("model", "cell")
            .agg(F.sum("n").alias("n"), F.sum("s").alias("s")).toArrow())
@@ -242,18 +347,25 @@ def fit(matrix: DataFrame, n_features: int, label: str, limits: Sequence[tuple[i
     rows of a leaf; ``allowed``: for each model the features that it may use."""
     ship_package(matrix.sparkSession)
     rows = matrix.where(F.col(label).isNotNull()).select("bins", F.col(label).cast("double"))
-    start = rows.agg(F.avg(label)).first()[0] or 0.0
+    start, n_rows = rows.agg(F.avg(label), F.count(label)).first()
+    start = start or 0.0
     allowed = allowed or [None] * len(limits)
     models = [Model(leaves, depth, float(start), rate, [], None if a is None else tuple(a))
               for (leaves, depth), a in zip(limits, allowed, strict=True)]
-    for _ in range(rounds):
+    held = _blocks(rows, n_rows, n_features, bins, models).persist()
+    for k in range(rounds):
         growths = [_Growth(m, least) for m in models]
         while any(g.wanted for g in growths):
-            for g, counted in zip(growths, _pass(rows, n_features, bins, models, growths), strict=True):
+            for g, counted in zip(growths, _pass(held, n_features, bins, models, growths), strict=True):
                 if g.wanted:
                     g.take(counted)
         for m, g in zip(models, growths, strict=True):
             m.trees.append(g.tree())
+        if k + 1 < rounds:
+            before, held = held, _advanced(held, models).persist()
+            held.count()
+            before.unpersist()
+    held.unpersist()
     return models
 
 
@@ -263,8 +375,9 @@ def root_gains(matrix: DataFrame, features: Sequence[str], label: str, least: in
     squared error by one cut of all rows."""
     ship_package(matrix.sparkSession)
     rows = matrix.where(F.col(label).isNotNull()).select("bins", F.col(label).cast("double"))
-    model = Model(2, 1, float(rows.agg(F.avg(label)).first()[0] or 0.0), 1.0)
-    n, s = _pass(rows, len(features), bins, [model], [_Growth(model, least)])[0][0]
+    start, n_rows = rows.agg(F.avg(label), F.count(label)).first()
+    model = Model(2, 1, float(start or 0.0), 1.0)
+    n, s = _pass(_blocks(rows, n_rows, len(features), bins, [model]), len(features), bins, [model], [_Growth(model, least)])[0][0]
     found = [(f, best_split(0, n[k:k + 1], s[k:k + 1], least, (1, 2))) for k, f in enumerate(features)]
     return matrix.sparkSession.createDataFrame([(f, x.gain) for f, x in found if x], "feature string, gain double")
 
